@@ -147,3 +147,13 @@ def _any(conditions: list[Column]) -> Column:
     for condition in conditions[1:]:
         result = result | condition
     return result
+
+
+def first_per_group(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each group in a total order.
+
+    Spark keeps only each task's first rows before the shuffle (a window group limit),
+    so a large group does not travel.
+    """
+    ranked = df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.filter(F.col("rn") == 1).drop("rn")

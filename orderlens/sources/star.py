@@ -112,5 +112,5 @@ def order_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def raw_lines(spark: SparkSession, path: str) -> DataFrame:
     """The same lines as dirty text."""
-    query = RAW_LINES_SQL.replace("{text}", "string").replace("{tab}", "\\t")
+    query = RAW_LINES_SQL.replace("{text}", "string").replace("{tab}", "\t")
     return spark.sql(query, lines=order_lines(spark, path))
