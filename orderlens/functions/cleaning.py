@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orderlens import fields
 
 # digits with an optional fraction; an exponent or a type suffix is no integer
-_WHOLE_OR_FRACTION = r"^[+-]?(\d+(\.\d*)?|\.\d+)$"
+_WHOLE_OR_FRACTION = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
 
 
 def clean_whitespace(text: Column) -> Column:
@@ -27,15 +27,13 @@ def clean_whitespace(text: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
+    """Text to double; outer whitespace is ignored and a bad value becomes null."""
     return text.try_cast("double")
 
 
 def to_int(text: Column) -> Column:
     """Text to int, dropping a fraction ("3.7" -> 3); anything else becomes null."""
-    trimmed = F.trim(text)
-    return F.when(
-        trimmed.rlike(_WHOLE_OR_FRACTION), trimmed.try_cast("double").try_cast("int")
-    )
+    return F.when(text.rlike(_WHOLE_OR_FRACTION), text.try_cast("double").try_cast("int"))
 
 
 def yes_no_flag(text: Column) -> Column:
@@ -51,5 +49,5 @@ def ordinal(text: Column, levels: Mapping[str, int]) -> Column:
 
 def date_from_parts(month: Column, day: Column, year: Column) -> Column:
     """Date of three text or number columns; null where they form no date."""
-    parts = [part.cast("string") for part in (month, day, year)]
+    parts = [clean_whitespace(part.cast("string")) for part in (month, day, year)]
     return F.try_to_date(F.concat_ws("/", *parts), fields.DATE_PATTERN)

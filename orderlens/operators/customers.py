@@ -86,10 +86,24 @@ def _first_seen(value: Column) -> Column:
     return F.min(F.when(value.isNotNull(), seen))
 
 
+def customer_attributes(lines: DataFrame) -> DataFrame:
+    """First non-null value of each attribute per customer.
+
+    "First" is by date and, on one date, by value: an order that any run reproduces.
+    """
+    return (
+        lines.groupBy(KEY, *ATTRIBUTES)
+        .agg(F.min("Order_Date").alias("first_date"))
+        .groupBy(KEY)
+        .agg(*[_first_seen(F.col(a))["value"].alias(name) for a, name in ATTRIBUTES.items()])
+    )
+
+
 def customer_profile(lines: DataFrame) -> DataFrame:
     """All customer aggregates: base, ``ml_`` purchase behaviour and favourite category.
 
-    Unused columns are pruned together with the work behind them.
+    Reads ``lines`` twice (few columns the second time), so they should be a written
+    layer. Unused columns are pruned together with the work behind them.
     """
     require_columns(lines, fields.FEATURE_INPUTS)
     category = F.col("Product_Category")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from orderlens.functions import scoring
 from orderlens.operators import evaluation as ops
 from orderlens.operators import forest, quality
-from orderlens.queries.customers import FEATURES_V
+from orderlens.operators.customers import customer_features
+from orderlens.queries.customers import FEATURES_V, written_lines
 from orderlens.queries.registry import over_lines, query, ratio6
 from orderlens.sources import scratch, star
 
@@ -130,8 +132,6 @@ def round_score(spark, sf):
     over_lines("SELECT Order_ID, Product_ID, Score AS return_probability FROM orders_v"),
 )
 def extract_probability(spark, sf):
-    from pyspark.ml.functions import array_to_vector
-
     vector = array_to_vector(F.array(1 - F.col("Score"), F.col("Score")))
     return (
         scored(spark, sf)
@@ -305,6 +305,4 @@ def class_weights(spark, sf):
     ),
 )
 def segment_distribution(spark, sf):
-    from orderlens.operators.customers import customer_features
-
-    return quality.segment_distribution(customer_features(star.order_lines(spark, sf)))
+    return quality.segment_distribution(customer_features(written_lines(spark, sf)))

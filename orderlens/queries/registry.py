@@ -48,7 +48,7 @@ def _fill(template: str, **values: str) -> str:
 
 ORDERS_V = _fill(
     star.ORDER_LINES_SQL,
-    days="date_diff('day', cast(o.o_orderdate AS date), cast(l.l_shipdate AS date))",
+    days="date_diff('day', o.Order_Date, cast(l.l_shipdate AS date))",
     **{name: name for name in star.TABLES},
 )
 RAW_V = _fill(star.RAW_LINES_SQL, text="varchar", tab="\t", lines="orders_v").replace("`", '"')

@@ -28,6 +28,18 @@ def read_orders_csv(
     return reader.csv(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute an input that splits into fewer parts than there are cores.
+
+    One unsplittable file would otherwise keep every narrow step on one core. Inputs with
+    enough splits, which large tables have, come back as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def read_layer(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, **options) -> DataFrame:
     return spark.read.format(fmt).options(**options).load(path)
 

@@ -10,48 +10,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.sources import layers
+
 TABLES = ["lineitem", "orders", "customer", "part", "nation"]
 
+# Attributes of customers and parts are worked out on their small tables, before the joins.
+# Money is counted in whole cents, whose products are exact in both number types used.
 ORDER_LINES_SQL = """
 SELECT o.o_orderkey AS Order_ID, o.o_custkey AS Customer_ID, l.l_partkey AS Product_ID,
-  cast(o.o_orderdate AS date) AS Order_Date,
-  cast(quarter(cast(o.o_orderdate AS date)) AS int) AS Quarter,
-  lower(p.p_type) AS Product_Category, lower(p.p_name) AS Product_Subcategory,
-  lower(p.p_brand) AS Brand,
-  lower(c.c_mktsegment) AS Customer_Segment, lower(n.n_name) AS Country,
-  lower(o.o_orderpriority) AS Payment_Method, lower(o.o_orderstatus) AS Order_Status,
-  CASE WHEN c.c_acctbal < 2500 THEN 'standard' WHEN c.c_acctbal < 5000 THEN 'silver'
-       WHEN c.c_acctbal < 7500 THEN 'gold' ELSE 'platinum' END AS Membership_Status,
-  CASE WHEN c.c_custkey % 37 = 0 THEN NULL
-       ELSE cast(15 + c.c_custkey % 60 AS int) END AS Customer_Age,
-  c.c_acctbal AS Customer_Lifetime_Value,
+  o.Order_Date, cast(quarter(o.Order_Date) AS int) AS Quarter,
+  p.Product_Category, p.Product_Subcategory, p.Brand,
+  c.Customer_Segment, n.Country, o.Payment_Method, o.Order_Status,
+  c.Membership_Status, c.Customer_Age, c.c_acctbal AS Customer_Lifetime_Value,
   cast(l.l_quantity AS int) AS Quantity, cast(p.p_retailprice AS double) AS Unit_Price,
-  cast(round(l.l_discount * 100) AS int) AS Discount_Percent,
-  cast(round(l.price * l.disc, 2) AS double) AS Discount_Amount,
-  cast(round(l.price * (1 - l.disc) * l.tax, 2) AS double) AS Tax_Amount,
-  cast(round(l.price * (1 - l.disc) * (1 + l.tax), 2) AS double) AS Order_Amount,
+  cast(l.disc AS int) AS Discount_Percent,
+  floor((l.price * l.disc + 50) / 100) / 100 AS Discount_Amount,
+  floor((l.price * (100 - l.disc) * l.tax + 5000) / 10000) / 100 AS Tax_Amount,
+  floor((l.price * (100 - l.disc) * (100 + l.tax) + 5000) / 10000) / 100 AS Order_Amount,
   cast(greatest({days}, 0) AS int) AS Delivery_Days,
   CASE WHEN l.l_linenumber = 7 THEN NULL
        ELSE cast(1 + l.l_partkey % 5 AS double) END AS Review_Rating,
   cast(5 + l.l_suppkey % 40 AS double) AS Profit_Margin_Percent,
-  CASE WHEN l.l_discount > 0.05 THEN 1 ELSE 0 END AS Coupon_Used,
+  CASE WHEN l.disc > 5 THEN 1 ELSE 0 END AS Coupon_Used,
   CASE WHEN l.l_extendedprice > 50000 THEN 1 ELSE 0 END AS High_Value_Order,
   CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS Returned,
-  round(cast((l.l_partkey * 7919 + l.l_orderkey * 104729 + l.l_linenumber * 31) % 1000 AS double)
-    * cast(0.0008 AS double)
-    + CASE WHEN l.l_returnflag = 'R' THEN cast(0.15 AS double) ELSE cast(0 AS double) END, 4)
-    AS Score,
-  round(cast((l.l_partkey * 31 + l.l_orderkey * 17 + l.l_linenumber * 7) % 1000 AS double)
-    * cast(0.0007 AS double)
-    + CASE WHEN l.l_returnflag = 'R' THEN cast(0.25 AS double) ELSE cast(0 AS double) END, 4)
-    AS Score_B
-FROM (SELECT *, cast(l_extendedprice AS decimal(12,2)) AS price,
-             cast(l_discount AS decimal(4,2)) AS disc, cast(l_tax AS decimal(4,2)) AS tax
+  ((l.l_partkey * 7919 + l.l_orderkey * 104729 + l.l_linenumber * 31) % 1000 * 8
+    + CASE WHEN l.l_returnflag = 'R' THEN 1500 ELSE 0 END) / 10000 AS Score,
+  ((l.l_partkey * 31 + l.l_orderkey * 17 + l.l_linenumber * 7) % 1000 * 7
+    + CASE WHEN l.l_returnflag = 'R' THEN 2500 ELSE 0 END) / 10000 AS Score_B
+FROM (SELECT *, cast(floor(l_extendedprice * 100 + 0.5) AS bigint) AS price,
+             cast(floor(l_discount * 100 + 0.5) AS bigint) AS disc,
+             cast(floor(l_tax * 100 + 0.5) AS bigint) AS tax
       FROM {lineitem}) l
-JOIN {orders} o ON l.l_orderkey = o.o_orderkey
-JOIN {customer} c ON o.o_custkey = c.c_custkey
-JOIN {part} p ON l.l_partkey = p.p_partkey
-JOIN {nation} n ON c.c_nationkey = n.n_nationkey
+JOIN (SELECT o_orderkey, o_custkey, cast(o_orderdate AS date) AS Order_Date,
+        lower(o_orderpriority) AS Payment_Method, lower(o_orderstatus) AS Order_Status
+      FROM {orders}) o ON l.l_orderkey = o.o_orderkey
+JOIN (SELECT c_custkey, c_nationkey, c_acctbal, lower(c_mktsegment) AS Customer_Segment,
+        CASE WHEN c_acctbal < 2500 THEN 'standard' WHEN c_acctbal < 5000 THEN 'silver'
+             WHEN c_acctbal < 7500 THEN 'gold' ELSE 'platinum' END AS Membership_Status,
+        CASE WHEN c_custkey % 37 = 0 THEN NULL
+             ELSE cast(15 + c_custkey % 60 AS int) END AS Customer_Age
+      FROM {customer}) c ON o.o_custkey = c.c_custkey
+JOIN (SELECT p_partkey, p_retailprice, lower(p_type) AS Product_Category,
+        lower(p_name) AS Product_Subcategory, lower(p_brand) AS Brand
+      FROM {part}) p ON l.l_partkey = p.p_partkey
+JOIN (SELECT n_nationkey, lower(n_name) AS Country FROM {nation}) n
+  ON c.c_nationkey = n.n_nationkey
 """
 
 RAW_LINES_SQL = """
@@ -97,7 +101,7 @@ SELECT cast(v.Order_ID AS {text}) AS `Order ID`,
 FROM {lines} v
 """
 
-_SPARK_DAYS = "datediff(cast(l.l_shipdate AS date), cast(o.o_orderdate AS date))"
+_SPARK_DAYS = "datediff(cast(l.l_shipdate AS date), o.Order_Date)"
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -107,7 +111,9 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 def order_lines(spark: SparkSession, path: str) -> DataFrame:
     """Typed order lines; unused columns and joins' payload are pruned by the caller's plan."""
     query = ORDER_LINES_SQL.replace("{days}", _SPARK_DAYS)
-    return spark.sql(query, **{name: read_table(spark, path, name) for name in TABLES})
+    tables = {name: read_table(spark, path, name) for name in TABLES}
+    tables["lineitem"] = layers.spread(tables["lineitem"], "l_orderkey", "l_linenumber")
+    return spark.sql(query, **tables)
 
 
 def raw_lines(spark: SparkSession, path: str) -> DataFrame:
