@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens import fields
 from orderlens.functions import cleaning, scoring
+from orderlens.functions.customer import date_parts
 
 # every field of a record may be missing or null
 RECORD_SCHEMA = T.StructType(
@@ -22,13 +23,11 @@ RECORD_SCHEMA = T.StructType(
 _CASED = {"day_of_week"}
 
 
-def _category(name: str, have: set[str], capped_label: str = fields.RARE_LABEL):
-    if name not in have:
-        return F.lit(None).cast("string")
-    text = cleaning.clean_whitespace(F.col(name).cast("string"))
+def _category(name: str, text: Column) -> Column:
+    text = cleaning.clean_whitespace(text.cast("string"))
     if name in _CASED:
         return text
-    return F.when(text == capped_label, text).otherwise(F.lower(text))
+    return F.when(text == fields.RARE_LABEL, text).otherwise(F.lower(text))
 
 
 def prepare_records(
@@ -38,20 +37,25 @@ def prepare_records(
 ) -> DataFrame:
     """Records in the shape the model was trained on.
 
-    Other columns are ignored. Text gets the cleaning of the silver layer. A missing
-    category stays null and an unknown one unknown, which both set no indicator; a
+    Columns are found in any case; others are ignored. Text gets the cleaning of the
+    silver layer, and date features come from an order date where they are not given. A
+    missing category stays null and an unknown one unknown, which both set no indicator; a
     missing number becomes its entry in ``defaults`` (such as ``training_means``), or 0.
     """
-    have = set(records.columns)
-    values = defaults or {}
+    given = {name.lower(): F.col(f"`{name}`") for name in records.columns}
+    if "order_date" in given:
+        given = date_parts(given["order_date"]) | given
+    missing, values = F.lit(None), defaults or {}
     numbers = [
         F.coalesce(
-            F.col(name).cast("double") if name in have else F.lit(None).cast("double"),
-            F.lit(float(values.get(name, 0.0))),
+            given.get(name, missing).cast("double"), F.lit(float(values.get(name, 0.0)))
         ).alias(name)
         for name in fields.NUMERIC_FEATURES
     ]
-    texts = [_category(name, have).alias(name) for name in fields.CATEGORICAL_FEATURES]
+    texts = [
+        _category(name, given.get(name, missing)).alias(name)
+        for name in fields.CATEGORICAL_FEATURES
+    ]
     return records.select(*keep, *numbers, *texts)
 
 

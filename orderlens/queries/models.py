@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from orderlens import fields
-from orderlens.operators import categories, evaluation, forest, splits, transactions
+from orderlens.operators import categories, evaluation, forest, schema, splits
 from orderlens.plans import scoring, training
 from orderlens.queries.registry import over_lines, query
 from orderlens.sources import layers, scratch, star
@@ -146,12 +146,9 @@ def model_save_load(spark, sf):
 
 def _records(spark, sf):
     """All order lines as scoring records: raw values, no label needed."""
-    lines = transactions.add_date_parts(
-        star.order_lines(spark, sf).toDF(
-            *[c.lower() for c in star.order_lines(spark, sf).columns]
-        )
+    return schema.lowercase_columns(star.order_lines(spark, sf)).withColumn(
+        "country", F.upper("country")
     )
-    return lines.withColumn("country", F.upper("country"))
 
 
 @query("score_batch")

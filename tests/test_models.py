@@ -70,6 +70,13 @@ def test_batch_scores_equal_scores_of_its_halves(silver, model):
     assert scores(rows) == sorted(scores(rows.filter(even)) + scores(rows.filter(~even)))
 
 
+def test_silver_rows_score_as_their_records(silver, model):
+    scored = scoring.score_batch(model, silver, keep=["Order_ID", "Product_ID"])
+    expected = scoring.score_batch(model, records(silver), keep=["order_id", "product_id"])
+    assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, expected.collect()))
+    assert scored.select("return_probability").distinct().count() > 10
+
+
 def test_partial_records(spark, model):
     columns = "id int, country string, quantity double, unknown_field string"
     df = spark.createDataFrame(
