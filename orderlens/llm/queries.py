@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import packing, quality
+from orderlens.llm import jaccard, licenses, mixing, packing, pages, pii, quality, secrets, topk
+from orderlens.llm.text import join_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,6 +70,35 @@ def op1_quality_ledger(spark, sf_dir):
     )
 
 
+# --- 2: mixing sources to target weights
+
+
+@query("op2_pfair_mix")
+def op2_pfair_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+# --- 3: license scans
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark, sf_dir):
+    scanned = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("detections", lambda d: d["pinned"])
+    return scanned.select(
+        "doc_id", "n_words", "detections", base.alias("base")
+    ).select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.transform("base", lambda d: d["start"])).cast("long").alias("first_word"),
+        F.array_max(F.transform("base", lambda d: d["start"])).cast("long").alias("last_word"),
+        licenses.labels(F.col("base")).alias("base_labels"),
+        licenses.labels(licenses.standing(F.col("detections"))).alias("labels"),
+        licenses.confidence(F.col("detections")).alias("score"),
+    )
+
+
 # --- 4: packing
 
 
@@ -82,3 +112,101 @@ def tokenizer_path() -> str:
 def op4_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+# --- 5: personal data
+
+
+def _is_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
+@query("op5_pii_bootstrap")
+def op5_pii_bootstrap(spark, sf_dir):
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    fixed = F.col("fixed")
+    return found.select(
+        "doc_id",
+        *[
+            F.size(F.filter(fixed, _is_kind(kind))).cast("long").alias(f"n_{kind}")
+            for kind in pii.KINDS
+        ],
+        F.sha2(join_spans(fixed), 256).alias("base_sha256"),
+        join_spans(F.concat(fixed, "learned")).alias("spans"),
+        F.size("learned").cast("long").alias("n_learned"),
+    )
+
+
+# --- 6: n-gram Jaccard join
+
+_JACCARD_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT r, CASE WHEN len(w) < 4 THEN w ELSE w[i:i + 3] END AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r
+  GROUP BY a.r, b.r),
+e AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (WITH RECURSIVE f(a, b) AS (SELECT r, r FROM t
+    UNION SELECT f.a, e.b FROM f JOIN e ON f.b = e.a) SELECT a, b FROM f)
+SELECT t.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM t LEFT JOIN n USING (r) JOIN reach ON reach.a = t.r JOIN t o ON o.r = reach.b
+GROUP BY t.r, t.doc_id
+"""
+
+
+@query("op6_ngram_jaccard", _JACCARD_SQL)
+def op6_ngram_jaccard(spark, sf_dir):
+    rule = jaccard.Similarity(shingle=4, percent=85)
+    return jaccard.join(table(spark, sf_dir, "documents"), rule=rule)
+
+
+# --- 8: secret scans
+
+
+@query("op8_secret_scan")
+def op8_secret_scan(spark, sf_dir):
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    fixed, random = F.col("fixed"), F.col("random")
+    return found.select(
+        "doc_id",
+        *[secrets.count_kind(fixed, kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(join_spans(fixed), 256).alias("base_sha256"),
+        join_spans(secrets.all_spans(fixed, random)).alias("spans"),
+        F.size(random).cast("long").alias("n_random"),
+    )
+
+
+# --- 9: HTML extraction
+
+
+@query("op9_host_suffix_array")
+def op9_host_suffix_array(spark, sf_dir):
+    texts = pages.extract(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+# --- 10: exact top-k search
+
+_TOP_K_SQL = """
+WITH v AS (SELECT DISTINCT vec_id,
+    list_transform(embedding, lambda x: floor(64 * cast(x AS double))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    cast(list_inner_product(q.v, c.v) AS bigint) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, cast(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS int)
+  AS rank, vec_id, score FROM s QUALIFY rank <= 20
+"""
+
+
+@query("op10_ball_tree_top_k", _TOP_K_SQL)
+def op10_ball_tree_top_k(spark, sf_dir):
+    whole = F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("double"))
+    rows = table(spark, sf_dir, "embeddings").where(topk.valid(F.col("embedding")))
+    rows = rows.select("vec_id", whole.alias("vector"))
+    return topk.top_k(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
