@@ -1,24 +1,89 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Every stage gets the documents its predecessor kept and returns documents again, except the
+last, which returns packed pieces. Null or empty texts have no words and go at the first stage.
+Empty tables pass through all stages.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderlens.llm import packing, quality
+from orderlens.llm import jaccard, mixing, packing, quality, secrets
 from orderlens.llm.queries import tokenizer_path
 from orderlens.sources import scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the web policy keeps."""
+    entries = quality.ledger(docs, keep=docs.columns)
+    return entries.where(quality.kept(quality.STRICT)).select(*docs.columns)
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose id is not in ``ids``, which is broadcast only if it is small."""
+    small = ids.limit(jaccard.BROADCAST_ROWS + 1).count() <= jaccard.BROADCAST_ROWS
+    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates.
+
+    Of rows that share id and text one stays. Documents without an id are in no one's way:
+    they stay, since nothing names them.
+    """
+    linked = scratch.durable(jaccard.join(docs), "pipeline-links")
+    copies = linked.where("component_id <> doc_id").select("doc_id").distinct()
+    repeated = scratch.durable(
+        linked.where("doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .count()
+        .where("count > 1")
+        .select("doc_id"),
+        "pipeline-repeated",
+    )
+    kept = _without(docs, copies)
+    if repeated.isEmpty():
+        return kept
+    again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return _without(kept, repeated).unionByName(again.select(*kept.columns))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret replaced by a mark."""
+    found = secrets.find_secrets(docs, keep=docs.columns)
+    clean = secrets.redact(F.col("text"), secrets.all_spans(F.col("fixed"), F.col("random")))
+    return (
+        found.withColumn("text", clean)
+        .withColumn("n_chars", F.length("text").cast("long"))
+        .select(*docs.columns)
+    )
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, ordered so that the sources alternate by their target weights."""
+    mixed = mixing.mix(docs)
+    ordered = mixed.repartitionByRange("mix_position").sortWithinPartitions("mix_position")
+    return ordered.select(*docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of all documents, in the order of their files."""
+    """Sequences of all documents, in the order of the mixture within each file."""
     return packing.pack(docs, tokenizer_path())
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", near_duplicates),
+    ("secret_scan", secret_scan),
+    ("source_mix", source_mix),
+    ("packing", pack),
+]
 
 #: Tokenizing cannot be said in SQL.
 ORACLE_SQL = None

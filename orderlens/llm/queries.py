@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import jaccard, licenses, mixing, packing, pages, pii, quality, secrets, topk
+from orderlens.llm import jaccard, licenses, lm, mixing, packing, pages, pii, quality, secrets, topk
 from orderlens.llm.text import join_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,6 +164,14 @@ def op6_ngram_jaccard(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"), rule=rule)
 
 
+# --- 7: language-model scoring
+
+
+@query("op7_bloom_lm")
+def op7_bloom_lm(spark, sf_dir):
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 # --- 8: secret scans
 
 
