@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.text import lower_ascii
+from orderlens.llm.text import let, lower_ascii
 
 #: Characters between words: ASCII other than digits and letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -245,12 +245,13 @@ def scan(
         )
         return inside & beats & ~other["pinned"]
 
-    def judged(d):
-        lost = ~d["pinned"] & F.exists("found__", lambda other: stronger(other, d))
-        return F.struct(
-            *[d[c].alias(c) for c in ("start", "end", "order", "label", "priority", "pinned")],
-            lost.alias("suppressed"),
-        )
+    def judged(found):
+        def one(d):
+            lost = ~d["pinned"] & F.exists(found, lambda other: stronger(other, d))
+            names = ("start", "end", "order", "label", "priority", "pinned")
+            return F.struct(*[d[c].alias(c) for c in names], lost.alias("suppressed"))
+
+        return F.transform(found, one)
 
     n_spaces = F.length(normal) - F.length(F.replace(normal, F.lit(" "), F.lit("")))
     return (
@@ -258,12 +259,14 @@ def scan(
         .select(
             *kept,
             (n_spaces - 1).cast("long").alias("n_words"),
-            F.when(_gate(normal, rules), F.sort_array(_detections(normal, rules)))
-            .otherwise(none)
-            .alias("found__"),
+            let(
+                F.when(
+                    _gate(normal, rules),
+                    let(normal, lambda n: F.sort_array(_detections(n, rules))),
+                ).otherwise(none),
+                judged,
+            ).alias("detections"),
         )
-        .select(*kept, "n_words", "found__", F.transform("found__", judged).alias("detections"))
-        .drop("found__")
     )
 
 

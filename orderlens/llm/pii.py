@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.text import spans
+from orderlens.llm.text import let, spans
 from orderlens.sources import scratch
 
 KINDS = ("email", "ip", "card", "phone")
@@ -126,6 +126,21 @@ def mentions(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
     kept = [F.col(f"`{c}`") for c in keep]
     text = F.col("text__")
     none = F.array().cast("array<struct<start:int,end:int,found:string>>")
+    def mention(text, s, kind):
+        contexts = _contexts(text, s["start"], s["end"]).alias("contexts")
+        return F.struct(s["start"], s["end"], kind.alias("kind"), s["found"], contexts)
+
+    def all_mentions(fixed):
+        touched = lambda w: F.exists(
+            fixed, lambda f: (f["start"] < w["end"]) & (f["end"] > w["start"])
+        )
+        loose = F.filter("words__", lambda w: ~touched(w))
+        unknown = F.lit(None).cast("string")
+        return F.concat(
+            F.transform(fixed, lambda s: mention(text, s, s["kind"])),
+            F.transform(loose, lambda w: mention(text, w, unknown)),
+        )
+
     return (
         df.select(*kept, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text__"))
         .select(
@@ -136,30 +151,7 @@ def mentions(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
             .otherwise(none)
             .alias("words__"),
         )
-        .select(
-            *kept,
-            "fixed",
-            F.transform(
-                "fixed",
-                lambda s: F.struct(
-                    s["start"], s["end"], s["kind"], s["found"],
-                    _contexts(text, s["start"], s["end"]).alias("contexts"),
-                ),
-            ).alias("seeds__"),
-            F.transform(
-                F.filter(
-                    "words__",
-                    lambda w: ~F.exists(
-                        "fixed", lambda f: (f["start"] < w["end"]) & (f["end"] > w["start"])
-                    ),
-                ),
-                lambda w: F.struct(
-                    w["start"], w["end"], F.lit(None).cast("string").alias("kind"), w["found"],
-                    _contexts(text, w["start"], w["end"]).alias("contexts"),
-                ),
-            ).alias("others__"),
-        )
-        .select(*kept, "fixed", F.concat("seeds__", "others__").alias("mentions"))
+        .select(*kept, "fixed", let(F.col("fixed"), all_mentions).alias("mentions"))
     )
 
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.text import SPACES
+from orderlens.llm.text import SPACES, let
 
 SYMBOLS = "#*$%&|<>"
 _SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -82,42 +82,46 @@ STRICT = Policy(
 )
 
 
-def _with_repeat_words(staged: DataFrame) -> DataFrame:
-    """Adds ``n_repeat_words``: words inside 3-word windows that occur twice or more.
+def _repeat_words(words: Column) -> Column:
+    """Words inside 3-word windows that occur twice or more.
 
     Windows are numbered by their place. Sorted by their 64-bit hash, equal ones are
     neighbours; their places in order cover three words each, or fewer up to the next
-    place. Each step is a column of its own, since a lambda evaluates what stands inside it
-    for every element.
+    place.
     """
-    words, hashes, by_hash = F.col("words__"), F.col("hashes__"), F.col("by_hash__")
-    n_windows = F.size(words) - 2
-    window_hashes = F.transform(
-        F.sequence(F.lit(0), n_windows - 1),
-        lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2]),
-    )
-    placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    some_repeat = F.size(F.array_distinct(hashes)) < F.size(hashes)
-
-    def twin(w, k):
-        same = lambda j: F.coalesce(F.get(by_hash, j)["h"] == w["h"], F.lit(False))
-        return same(k - 1) | same(k + 1)
-
-    places = F.sort_array(F.transform(F.filter(by_hash, twin), lambda w: w["i"]))
-    covered = F.aggregate(
-        F.col("places__"),
-        F.struct(F.lit(0).alias("n"), F.lit(-3).alias("at")),
-        lambda s, i: F.struct(
-            (s["n"] + F.least(F.lit(3), i - s["at"])).alias("n"), i.alias("at")
-        ),
-        lambda s: s["n"],
-    )
-    return (
-        staged.withColumn("hashes__", F.when(n_windows > 1, window_hashes))
-        .withColumn("by_hash__", F.when(some_repeat, F.sort_array(placed)))
-        .withColumn("places__", F.when(F.col("by_hash__").isNotNull(), places))
-        .withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)))
-    )
+
+    def window_hashes(words):
+        places = F.sequence(F.lit(0), F.size(words) - 3)
+        return F.transform(places, lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2]))
+
+    def twins(by_hash):
+        def twin(w, k):
+            same = lambda j: F.coalesce(F.get(by_hash, j)["h"] == w["h"], F.lit(False))
+            return same(k - 1) | same(k + 1)
+
+        return F.sort_array(F.transform(F.filter(by_hash, twin), lambda w: w["i"]))
+
+    def covered(places):
+        return F.aggregate(
+            places,
+            F.struct(F.lit(0).alias("n"), F.lit(-3).alias("at")),
+            lambda s, i: F.struct(
+                (s["n"] + F.least(F.lit(3), i - s["at"])).alias("n"), i.alias("at")
+            ),
+            lambda s: s["n"],
+        )
+
+    def of_hashes(hashes):
+        placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+        return F.when(
+            F.size(F.array_distinct(hashes)) < F.size(hashes),
+            covered(let(F.sort_array(placed), twins)),
+        ).otherwise(0)
+
+    def of_words(words):
+        return F.when(F.size(words) > 3, let(window_hashes(words), of_hashes)).otherwise(0)
+
+    return let(words, of_words)
 
 
 def measure(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -137,14 +141,14 @@ def measure(df: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame
     n_words = F.size("words__")
     long = lambda c, name: c.cast("long").alias(name)
     removed = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
-    return _with_repeat_words(staged).select(
+    return staged.select(
         *[F.col(f"`{c}`") for c in keep],
         long(n_words, "n_words"),
         long(F.length(F.translate(text, _SPACE_CHARS, "")), "word_chars"),
         long(removed(SYMBOLS), "n_symbols"),
         long(F.size("lines__"), "n_lines"),
         long(F.size("lines__") - F.size(F.array_distinct("lines__")), "n_dup_lines"),
-        long(F.col("n_repeat_words"), "n_repeat_words"),
+        long(_repeat_words(F.col("words__")), "n_repeat_words"),
         long(removed(upper), "n_upper"),
     )
 

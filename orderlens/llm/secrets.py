@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.text import spans
+from orderlens.llm.text import let, spans
 
 ASSIGN = (
     r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?"""
@@ -125,10 +125,7 @@ def max_entropy(candidate: Column, alphabet: str, window: int = WINDOW) -> Colum
             F.filter(F.split(text, ""), lambda ch: ch != ""),
             lambda ch: F.instr(F.lit(alphabet), ch),
         )
-        # a one-element array gives the places a name, so they are made once
-        return F.transform(
-            F.array(places), lambda p: _least_sum(p, len(alphabet), window)
-        )[0]
+        return let(places, lambda p: _least_sum(p, len(alphabet), window))
 
     least = over(candidate)
     return F.when(
@@ -194,8 +191,11 @@ def find_secrets(
         F.filter(of_kind(spans(text, F.lit(CANDIDATE)), "random"), lambda s: _mixes(s["found"])),
     ).otherwise(none)
 
-    def loose(s):
-        return ~F.exists("fixed__", lambda f: (f["start"] < s["end"]) & (f["end"] > s["start"]))
+    def loose(fixed):
+        touched = lambda s: F.exists(
+            fixed, lambda f: (f["start"] < s["end"]) & (f["end"] > s["start"])
+        )
+        return F.filter("candidates__", lambda s: ~touched(s))
 
     def random(s):
         verdict = F.lit(False)
@@ -217,7 +217,7 @@ def find_secrets(
             candidates.alias("candidates__"),
         )
         .select(*kept, F.sort_array("fixed__").alias("fixed__"), "candidates__")
-        .select(*kept, "fixed__", F.filter("candidates__", loose).alias("candidates__"))
+        .select(*kept, "fixed__", let(F.col("fixed__"), loose).alias("candidates__"))
         .select(
             *kept,
             F.col("fixed__").alias("fixed"),

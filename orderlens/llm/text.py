@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,15 @@ from pyspark.sql import functions as F
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once.
+
+    A lambda computes what stands inside it for every element, and the optimizer may move a
+    column's expression into a lambda that names it. A lambda's own variable stays a value.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case; every other character stays."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
