@@ -16,8 +16,6 @@ BROADCAST_BYTES = 64 << 20
 # per-row overhead assumed for a broadcast value besides its text
 _ROW_BYTES = 64
 
-MAX_VOCABULARY = 10_000
-
 
 def category_frequency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per value of each column as (column, value, n), in one pass over ``df``."""
@@ -37,8 +35,8 @@ def cap_rare_categories(
 
     The frequencies of all columns are counted once and written. Per column only the
     values that stay are looked up, by broadcast where their measured size allows it.
-    Otherwise the rows of the few very frequent values stay where they are and only the
-    others are shuffled, so no task receives a large part of the table.
+    Otherwise rows and values are shuffled; a value on more rows than a task should get,
+    and null, are dealt over several tasks by a salt. ``df`` is read once for the result.
     """
     columns = present(df, columns)
     if not columns:
@@ -69,60 +67,74 @@ def cap_rare_categories(
         if (totals[column]["kept_bytes"] or 0) <= broadcast_bytes:
             df = _recode(df, column, F.broadcast(values.drop("n")), other)
         else:
-            # fewer than shuffle_parts values can reach this share, whatever the data
-            hot_from = totals[column]["rows"] / shuffle_parts
-            hot = F.broadcast(values.filter(F.col("n") > hot_from))
-            is_hot = F.col(column) == F.col(f"{column}_kept")
-            stays, moved = df.join(hot, is_hot, "left_semi"), df.join(hot, is_hot, "left_anti")
-            blank = F.col(column).isNull()
-            df = (
-                stays.unionByName(moved.filter(blank))
-                .unionByName(_recode(moved.filter(~blank), column, values.drop("n"), other))
+            df = _recode_salted(
+                df, column, values, other, totals[column]["rows"] / shuffle_parts, shuffle_parts
             )
     return df
 
 
-def _recode(df: DataFrame, column: str, kept: DataFrame, other: str) -> DataFrame:
+def _recode_salted(
+    df: DataFrame, column: str, kept: DataFrame, other: str, share: float, parts: int
+) -> DataFrame:
+    """Recode by a shuffled join; ``share``: rows that one task should get.
+
+    Fewer than ``parts`` values can be on more rows than that, whatever the data, so their
+    table is broadcast. A row's salt is a hash of the row, the same in every run.
+    """
     value, found = F.col(column), F.col(f"{column}_kept")
+    salts = F.ceil(F.col("n") / share).cast("int")
+    hot = kept.where(F.col("n") > share).select(found.alias("hot__"), salts.alias("salts__"))
+    salted = df.join(F.broadcast(hot), value == F.col("hot__"), "left").withColumn(
+        "salt__",
+        F.pmod(
+            F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
+            F.when(value.isNull(), parts).otherwise(F.coalesce("salts__", F.lit(1))),
+        ).cast("int"),
+    )
+    repeated = kept.select(
+        found, F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1)).alias("salt_kept__")
+    ).hint("merge")
     recoded = F.when(value.isNotNull() & found.isNull(), other).otherwise(value)
     return (
-        df.join(kept, value == found, "left").withColumn(column, recoded).select(*df.columns)
+        salted.join(repeated, (value == found) & (F.col("salt__") == F.col("salt_kept__")), "left")
+        .withColumn(column, recoded)
+        .select(*df.columns)
     )
 
 
-def vocabulary(df: DataFrame, column: str, limit: int = MAX_VOCABULARY) -> list[str]:
-    """Sorted distinct non-null values; raises above ``limit`` instead of growing wide."""
-    rows = df.select(column).dropna().distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values; cap it first")
-    return sorted(row[0] for row in rows)
+def _recode(df: DataFrame, column: str, kept: DataFrame, other: str) -> DataFrame:
+    value, found = F.col(column), F.col(f"{column}_kept")
+    recoded = F.when(value.isNotNull() & found.isNull(), other).otherwise(value)
+    return (
+        df.join(kept, value == found, "left").withColumn(column, recoded).select(*df.columns)
+    )
 
 
-def check_vocabularies(
-    df: DataFrame, columns: Sequence[str], limit: int = MAX_VOCABULARY
-) -> DataFrame:
-    """Raise when a column has clearly more than ``limit`` values (one approximate pass)."""
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = [c for c in columns if sizes[c] > limit * 1.1]
-    if wide:
-        raise ValueError(f"more than {limit} distinct values in {', '.join(wide)}; cap them first")
-    return df
+def vocabularies(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct non-null values of each column, counted in one pass."""
+    values = category_frequency(df, columns).where(F.col("value").isNotNull())
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in values.select("column", "value").collect():
+        found[row["column"]].append(row["value"])
+    return {c: sorted(v) for c, v in found.items()}
 
 
-def one_hot_columns(
-    df: DataFrame, columns: Sequence[str], limit: int = MAX_VOCABULARY
-) -> DataFrame:
+def one_hot_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each column by 0/1 columns named ``column_value``; null is 0 everywhere.
 
-    Take the union of both splits as input, so that they share their columns.
+    One column per value is what the caller asks for here, so it suits columns of few
+    values; ``forest.hasher`` gives a vector of stated width for any number. Take the union
+    of both splits as input, so that they share their columns.
     """
-    encoded: list[Column] = []
-    for column in columns:
-        for value in vocabulary(df, column, limit):
-            hit = F.when(F.col(column) == value, 1).otherwise(0)
-            encoded.append(hit.alias(f"{column}_{value}"))
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in set(columns)]
-    return df.select(*rest, *encoded)
+    rest = [c for c in df.columns if c not in set(columns)]
+    encoded: dict[str, Column] = {}
+    for column, values in vocabularies(df, columns).items():
+        for value in values:
+            name = f"{column}_{value}"
+            if name in encoded or name in rest:
+                raise ValueError(f"two columns would be called {name}")
+            encoded[name] = F.when(F.col(column) == value, 1).otherwise(0).alias(name)
+    return df.select(*[F.col(f"`{c}`") for c in rest], *encoded.values())
 
 
 def align_columns(df: DataFrame, trained: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -11,24 +11,19 @@ from orderlens.functions import cleaning
 from orderlens.operators.schema import map_present, present
 
 
-# more columns than this are cleaned as one array
-_INLINE_COLUMNS = 4
-
-
 def clean_text(df: DataFrame) -> DataFrame:
     """Normalise whitespace in every string column.
 
     A regular expression per column makes wide tables generate a method too long for the
-    JVM to compile. Many columns are therefore cleaned as the elements of one array.
+    JVM to compile. Each column is therefore cleaned as the one element of an array, whose
+    function stands outside the generated method; columns nobody reads are pruned.
     """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if len(names) <= _INLINE_COLUMNS:
-        return map_present(df, names, cleaning.clean_whitespace)
-    texts = F.transform(F.array(*[F.col(f"`{n}`") for n in names]), cleaning.clean_whitespace)
-    cleaned = df.withColumn("cleaned_texts", texts)
-    return cleaned.withColumns(
-        {name: F.col("cleaned_texts")[i] for i, name in enumerate(names)}
-    ).drop("cleaned_texts")
+
+    def one(column):
+        return F.transform(F.array(column), cleaning.clean_whitespace)[0]
+
+    return map_present(df, names, one)
 
 
 def rebuild_order_date(df: DataFrame) -> DataFrame:

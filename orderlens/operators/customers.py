@@ -218,7 +218,6 @@ def add_tenure_recency(customers: DataFrame) -> DataFrame:
 def add_rfm(
     customers: DataFrame,
     recency_nulls: str = ranking.NULLS_LAST,
-    single_task_rows: int = ranking.SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Recency, frequency and monetary scores 1..5, their sum and the segment.
 
@@ -235,7 +234,6 @@ def add_rfm(
             "m_score": ("total_spend", ranking.NULLS_FIRST),
         },
         fields.RFM_TILES,
-        single_task_rows,
     )
     scored = tiled.withColumn("r_score", F.lit(fields.RFM_TILES + 1) - F.col("r_score"))
     return scored.withColumn(

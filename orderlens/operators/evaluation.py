@@ -187,6 +187,15 @@ def class_scores(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return per_class.withColumn("f1", ratio(p * r * 2, p + r))
 
 
+def accuracy_and_f1(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Accuracy and support-weighted F1 in one row, from one pass over the rows."""
+    f1, support = F.col("f1"), F.col("support")
+    return class_scores(df, label, prediction).agg(
+        ratio(F.sum("hits"), F.sum(support)).alias("accuracy"),
+        ratio(F.sum(f1 * support), F.sum(support)).alias("f1_weighted"),
+    )
+
+
 def weighted_f1(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """F1 of the classes averaged by their support (not the positive-class F1)."""
     f1, support = F.col("f1"), F.col("support")
@@ -220,15 +229,20 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
     )
 
 
-def roc_auc(df: DataFrame, label: str, score: str, bins: int = 0) -> float:
+def roc_auc(df: DataFrame, label: str, score: str, bins: int = 0) -> float | None:
     """Area under the ROC curve of a score; ``bins=0`` uses every distinct score.
 
+    None if there are not both classes, where the area is undefined.
+
     Spark's evaluator combines equal scores before it sorts, and sorts by range.
     """
     evaluator = BinaryClassificationEvaluator(
         labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=bins
     )
     labelled = df.select(F.col(label).cast("double").alias(label), score).dropna()
+    classes = labelled.agg(F.min(label).alias("low"), F.max(label).alias("high")).first()
+    if classes["low"] == classes["high"]:
+        return None
     return evaluator.evaluate(labelled)
 
 

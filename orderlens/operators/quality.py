@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from orderlens.operators import ranking
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -40,23 +43,13 @@ def top_values(df: DataFrame, column: str, k: int = 20) -> DataFrame:
     return value_counts(df, column).orderBy(F.desc("n"), F.asc(column)).limit(k)
 
 
-def probability_summary(df: DataFrame, score: str, accuracy: int = 10_000) -> DataFrame:
-    """Min, quartiles and max of a score in one pass.
-
-    Quartiles are observed values whose rank is off by at most rows / accuracy, so they
-    are exact while there are fewer rows than ``accuracy``.
-    """
-    quartiles = F.percentile_approx(score, [0.25, 0.50, 0.75], accuracy)
-    return df.agg(
-        F.min(score).alias("min_probability"),
-        quartiles.alias("q"),
-        F.max(score).alias("max_probability"),
-    ).select(
-        "min_probability",
-        F.col("q")[0].alias("p25"),
-        F.col("q")[1].alias("median"),
-        F.col("q")[2].alias("p75"),
-        "max_probability",
+def probability_summary(df: DataFrame, score: str) -> DataFrame:
+    """Min, quartiles and max of a score; quartiles are exact observed values."""
+    names = ["min_probability", "p25", "median", "p75", "max_probability"]
+    values = ranking.quantiles(df, score, [0, 0.25, 0.5, 0.75, 1])
+    kind = df.schema[score].dataType
+    return df.sparkSession.createDataFrame(
+        [tuple(values)], T.StructType([T.StructField(n, kind) for n in names])
     )
 
 

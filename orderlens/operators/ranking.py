@@ -10,10 +10,12 @@ at most k - 1 literals per measure.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Callable, Mapping, Sequence
+from fractions import Fraction
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -21,29 +23,18 @@ from orderlens.sources import scratch
 
 NULLS_FIRST, NULLS_LAST = "first", "last"
 
-# a table known to be no longer than this may be ranked by an ordinary window
-SINGLE_TASK_ROWS = 200_000
-
 
 def ntile_columns(
     df: DataFrame,
     key: str,
     measures: Mapping[str, tuple[str, str]],
     tiles: int,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add one ntile column per measure: new name -> (column, nulls "first" or "last").
 
     Ascending, ties broken by ``key``, which must be unique. ``df`` is read several
     times, so it must be a written table that gives the same rows each time.
     """
-    if df.count() <= single_task_rows:
-        return df.withColumns(
-            {
-                name: F.ntile(tiles).over(Window.orderBy(_position(column, nulls, key)))
-                for name, (column, nulls) in measures.items()
-            }
-        )
     borders = _border_rows(df, key, measures, tiles)
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.withColumns(
@@ -103,7 +94,34 @@ def _border_rows(
             )
         ).alias("m")
     ).select("m.measure", "m.at.*")
-    order = ["measure", "blank", "value", "key"]
+    found = rows_at_ranks(long, ["blank", "value", "key"], lambda n: border_ranks(n, tiles))
+    return {
+        measure: [(row["blank"], row["value"], row["key"]) for row in rows]
+        for measure, rows in found.items()
+    }
+
+
+def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list:
+    """Exact quantiles: the least value that at least that share of the values does not exceed.
+
+    Nulls do not count; without values every quantile is null.
+    """
+    long = df.select(F.lit(column).alias("measure"), F.col(column).alias("value")).dropna()
+    found = rows_at_ranks(
+        long, ["value"], lambda n: [max(1, math.ceil(Fraction(str(s)) * n)) for s in shares]
+    )
+    return [row["value"] for row in found.get(column, [])] or [None] * len(shares)
+
+
+def rows_at_ranks(
+    long: DataFrame, by: Sequence[str], ranks: Callable[[int], list[int]]
+) -> dict[str, list[Row]]:
+    """Per measure, its rows at some ranks (from 1) in the order of ``by``.
+
+    ``long`` has a column ``measure`` and those of ``by``; ``ranks`` gets a measure's
+    number of rows. Equal rows may stand in any order, since they look the same.
+    """
+    order = ["measure", *by]
     # Range bounds are sampled, so the partitioned rows are written before they are
     # read twice. A part is a folder: later reads prune to the parts they need.
     ranged = scratch.durable(
@@ -114,16 +132,16 @@ def _border_rows(
     sizes = ranged.groupBy("measure", "part").count().orderBy("measure", "part").collect()
 
     wanted = []  # (measure, part, rank inside the part)
-    for measure in measures:
+    for measure in dict.fromkeys(row["measure"] for row in sizes):
         parts = [(row["part"], row["count"]) for row in sizes if row["measure"] == measure]
         ends = list(accumulate(n for _, n in parts))
-        for rank in border_ranks(ends[-1] if ends else 0, tiles):
+        for rank in ranks(ends[-1]):
             at = next(i for i, end in enumerate(ends) if end >= rank)
             wanted.append((measure, parts[at][0], rank - (ends[at] - parts[at][1])))
     if not wanted:
         return {}
 
-    inside = Window.partitionBy("measure", "part").orderBy("blank", "value", "key")
+    inside = Window.partitionBy("measure", "part").orderBy(*by)
     is_border = [
         (F.col("measure") == measure) & (F.col("part") == part) & (F.col("rank") == rank)
         for measure, part, rank in sorted(set(wanted))
@@ -135,11 +153,10 @@ def _border_rows(
         .collect()
     )
     found = {(row["measure"], row["part"], row["rank"]): row for row in rows}
-    borders: dict[str, list[tuple]] = {}
+    result: dict[str, list[Row]] = {}
     for target in wanted:
-        row = found[target]
-        borders.setdefault(target[0], []).append((row["blank"], row["value"], row["key"]))
-    return borders
+        result.setdefault(target[0], []).append(found[target])
+    return result
 
 
 def _any(conditions: list[Column]) -> Column:

@@ -91,7 +91,7 @@ def global_min(spark, sf):
     ),
 )
 def probability_summary(spark, sf):
-    return quality.probability_summary(star.order_lines(spark, sf), "Score", 1_000_000)
+    return quality.probability_summary(star.order_lines(spark, sf), "Score")
 
 
 @query(
@@ -123,7 +123,7 @@ def rare_category_cap_shuffled(spark, sf):
     )
 
 
-_FEATURES = {
+FEATURE_SQL = {
     "customer_age": "cast(Customer_Age AS double)",
     "quantity": "cast(Quantity AS double)",
     "review_rating": "Review_Rating",
@@ -156,9 +156,9 @@ _FEATURES = {
     "rf_feature_layer",
     over_lines(
         ", f AS (SELECT "
-        + ", ".join(f"{sql} AS {name}" for name, sql in _FEATURES.items())
+        + ", ".join(f"{sql} AS {name}" for name, sql in FEATURE_SQL.items())
         + " FROM orders_v) SELECT * FROM f WHERE "
-        + " AND ".join(f"{name} IS NOT NULL" for name in _FEATURES)
+        + " AND ".join(f"{name} IS NOT NULL" for name in FEATURE_SQL)
     ),
 )
 def rf_feature_layer(spark, sf):

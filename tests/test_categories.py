@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.operators import categories, splits, transactions
+from orderlens.sources import scratch
 
 
 @pytest.fixture(scope="module")
@@ -38,12 +39,28 @@ def test_capping_without_rows_or_columns(spark, rows):
     assert categories.cap_rare_categories(rows.select("id"), ["brand"]).columns == ["id"]
 
 
-def test_vocabulary_limit(rows):
-    assert categories.vocabulary(rows, "brand") == ["Other", "edge", "more", "rare"]
-    with pytest.raises(ValueError, match="more than 3"):
-        categories.vocabulary(rows, "brand", limit=3)
-    with pytest.raises(ValueError, match="brand"):
-        categories.check_vocabularies(rows, ["brand"], limit=3)
+def test_vocabularies(rows):
+    assert categories.vocabularies(rows, ["brand"]) == {"brand": ["Other", "edge", "more", "rare"]}
+
+
+def test_one_hot_names_must_differ(spark):
+    df = spark.createDataFrame([("b_c", "c")], "a string, a_b string")
+    with pytest.raises(ValueError, match="a_b_c"):
+        categories.one_hot_columns(df, ["a", "a_b"])
+
+
+def test_shuffled_capping_reads_once_and_splits_hot_values(spark):
+    rows = [(i, "hot" if i % 3 else f"v{i % 40}", None if i % 2 else "x") for i in range(3000)]
+    path = scratch.scratch_path(spark, "capping")
+    spark.createDataFrame(rows, "id int, brand string, product_subcategory string").write.parquet(path)
+    df = spark.read.parquet(path)
+    capped = categories.cap_rare_categories(df, min_count=20, broadcast_bytes=0)
+    plan = capped._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<id:int") == 1 and plan.count("SortMergeJoin") == 2
+    want = categories.cap_rare_categories(df, min_count=20)
+    assert sorted(map(str, capped.collect())) == sorted(map(str, want.collect()))
+    salted = df.where("brand = 'hot'").select(F.pmod(F.xxhash64(*df.columns), F.lit(6)))
+    assert salted.distinct().count() == 6
 
 
 def test_one_hot_null_is_all_zero(rows):

@@ -133,7 +133,7 @@ def ntile_pair(spark, values, tiles, nulls):
         spark.createDataFrame(list(enumerate(values)), "id int, x double").repartition(3), "ntile"
     )
     measures = {"tile": ("x", nulls)}
-    spread = ranking.ntile_columns(rows, "id", measures, tiles, single_task_rows=0)
+    spread = ranking.ntile_columns(rows, "id", measures, tiles)
     order = F.col("x").asc_nulls_last() if nulls == "last" else F.col("x").asc_nulls_first()
     window = rows.withColumn("tile", F.ntile(tiles).over(Window.orderBy(order, "id")))
     return [{r["id"]: r["tile"] for r in df.collect()} for df in (spread, window)]

@@ -137,3 +137,21 @@ def test_differences_between_models(spark):
     assert {r["metric"]: r["difference"] for r in rows} == {
         "roc_auc": pytest.approx(0.25), "f1": pytest.approx(0.2)
     }
+
+
+def test_auc_without_both_classes_is_undefined(spark):
+    df = spark.createDataFrame([(1, 0.3), (1, 0.9), (None, 0.1)], "returned int, p double")
+    assert evaluation.roc_auc(df, "returned", "p") is None
+    assert evaluation.roc_auc(df.limit(0), "returned", "p") is None
+
+
+def test_quartiles_are_exact(spark):
+    df = spark.range(0, 30_011, 1, 7).withColumn("p", F.col("id") / 30_011)
+    values = [round(v * 30_011) for v in quality.probability_summary(df, "p").first()]
+    assert values == [0, 7502, 15005, 22508, 30010]
+
+
+def test_balanced_weights_need_a_binary_label(spark):
+    df = spark.createDataFrame([(2,), (1,)], "returned int")
+    with pytest.raises(Exception, match="must be 0 or 1"):
+        forest.with_class_weight(df).collect()
