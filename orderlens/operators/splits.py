@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from orderlens import fields
 from orderlens.functions import scoring
+from orderlens.sources import scratch
 
 SPLIT_COLUMN = "split"
-TRAIN, TEST = "train", "test"
+TRAIN, TEST, VALIDATION = "train", "test", "validation"
 
 
 def split_bucket(*keys: str):
@@ -21,11 +22,21 @@ def split_bucket(*keys: str):
 
 
 def tag_split(
-    df: DataFrame, keys: Sequence[str], train_percent: int = fields.TRAIN_PERCENT
+    df: DataFrame,
+    keys: Sequence[str],
+    train_percent: int = fields.TRAIN_PERCENT,
+    validation_percent: int = 0,
 ) -> DataFrame:
-    """Mark each row train or test by a hash of its key; equal keys stay together."""
-    is_train = split_bucket(*keys) < train_percent
-    return df.withColumn(SPLIT_COLUMN, F.when(is_train, TRAIN).otherwise(TEST))
+    """Mark each row by a hash of its key; equal keys stay together.
+
+    Validation rows are the last ``validation_percent`` buckets of the training side, so
+    the test rows are the same with and without them.
+    """
+    bucket = split_bucket(*keys)
+    part = F.when(bucket < train_percent - validation_percent, TRAIN).when(
+        bucket < train_percent, VALIDATION
+    )
+    return df.withColumn(SPLIT_COLUMN, part.otherwise(TEST))
 
 
 def train_test_split(
@@ -38,8 +49,13 @@ def train_test_split(
 def random_split(
     df: DataFrame, train_percent: int = fields.TRAIN_PERCENT, seed: int = fields.SPLIT_SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Spark's own random split. Depends on the partitioning: write both parts before use."""
-    train, test = df.randomSplit([train_percent / 100, 1 - train_percent / 100], seed=seed)
+    """Spark's own random split.
+
+    It depends on the order and the partitioning of the rows, so these are written first:
+    both parts then read the same files, and every row is in one of them.
+    """
+    rows = scratch.durable(df, "random-split")
+    train, test = rows.randomSplit([train_percent / 100, 1 - train_percent / 100], seed=seed)
     return train, test
 
 

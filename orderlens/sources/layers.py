@@ -28,19 +28,13 @@ def read_orders_csv(
     return reader.csv(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Redistribute an input that splits into fewer parts than there are cores.
+def read_layer(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, **options) -> DataFrame:
+    """A layer by path, or with ``fmt="table"`` by catalog name, as ``save_tables`` left it.
 
-    One unsplittable file would otherwise keep every narrow step on one core. Inputs with
-    enough splits, which large tables have, come back as they are, without a shuffle.
+    Formats other than Spark's own (Delta, say) need their package, which is not tested here.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
-def read_layer(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, **options) -> DataFrame:
+    if fmt == "table":
+        return spark.read.options(**options).table(path)
     return spark.read.format(fmt).options(**options).load(path)
 
 
@@ -64,10 +58,20 @@ def write_layer(
     return read_layer(df.sparkSession, path, fmt)
 
 
+def merge_options(fmt: str) -> dict[str, bool]:
+    """What lets rows of a log differ in their columns, where the format can."""
+    return {"mergeSchema": True} if fmt in ("parquet", "orc", "delta") else {}
+
+
 def append_rows(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     """Append to a log and return all of it; columns new in ``df`` are null in older rows."""
-    df.write.format(fmt).mode("append").option("mergeSchema", True).save(path)
-    return read_layer(df.sparkSession, path, fmt, mergeSchema=True)
+    df.write.format(fmt).mode("append").options(**merge_options(fmt)).save(path)
+    return read_layer(df.sparkSession, path, fmt, **merge_options(fmt))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -82,17 +86,13 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_csv_single(df: DataFrame, path: str, max_rows: int = 1_000_000) -> bool:
-    """CSV extract in one file, as long as the result has at most ``max_rows`` rows.
+def write_csv_single(df: DataFrame, path: str) -> None:
+    """CSV extract in one file, whatever its size: one task writes it, because one file was asked.
 
-    One file means one writing task, so a larger result is written whole as several
-    files. Returns whether there is one file. The rows are computed in parallel and
-    kept in a scratch table; only their copy into the extract is a single task.
+    The rows are computed in parallel and kept in a scratch table; only their copy into
+    the extract is a single task. ``write_csv`` is the way without one.
     """
-    rows = scratch.durable(df, "extract")
-    single = rows.count() <= max_rows
-    write_csv(rows.repartition(1) if single else rows, path)
-    return single
+    write_csv(scratch.durable(df, "extract").repartition(1), path)
 
 
 def save_tables(

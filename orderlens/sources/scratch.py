@@ -3,19 +3,22 @@
 A frame that is read more than once, or whose rows must not move between reads,
 is written to the folder the cluster shares (``spark.checkpoint.dir``) and read
 back. Unlike a cached frame it outlives lost executors, and unlike a checkpoint
-it stays columnar, so later reads still prune columns.
+it stays columnar, so later reads still prune columns. Without that setting the folder is below
+the SQL warehouse, which a cluster shares as well. ``scope`` deletes what a job wrote.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_SETTING = "spark.checkpoint.dir"
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
-_local_roots: dict[str, str] = {}
+_scopes: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -24,19 +27,40 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get(SCRATCH_SETTING, None)
     if configured:
         return f"{configured.rstrip('/')}/orderlens-{app}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    warehouse = spark.conf.get(WAREHOUSE_SETTING, None) or ""
+    master = spark.conf.get("spark.master", "")
+    one_machine = master == "local" or master.startswith("local[")
+    if not one_machine and (warehouse.startswith("file:") or ":/" not in warehouse):
         raise ValueError(
-            f"{SCRATCH_SETTING} must name a folder that all executors share; "
-            "a machine-local folder cannot serve a cluster"
+            f"{SCRATCH_SETTING} or {WAREHOUSE_SETTING} must name a folder that all executors "
+            "share; a machine-local folder cannot serve a cluster"
         )
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="orderlens-")
-    return _local_roots[app]
+    return f"{warehouse.rstrip('/')}/_scratch/orderlens-{app}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    return "/".join([scratch_root(spark), *_scopes, f"{name}-{uuid.uuid4().hex[:12]}"])
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written inside are deleted at the end, also after an error.
+
+    What leaves the scope must be written elsewhere by then.
+    """
+    _scopes.append(f"scope-{uuid.uuid4().hex[:12]}")
+    path = "/".join([scratch_root(spark), *_scopes])
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def durable(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -51,5 +75,4 @@ def durable(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch tables, once nothing reads them any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    _delete(spark, scratch_root(spark))

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.sources import layers
-
 TABLES = ["lineitem", "orders", "customer", "part", "nation"]
 
 # Attributes of customers and parts are worked out on their small tables, before the joins.
@@ -20,8 +18,8 @@ ORDER_LINES_SQL = """
 SELECT o.o_orderkey AS Order_ID, o.o_custkey AS Customer_ID, l.l_partkey AS Product_ID,
   o.Order_Date, cast(quarter(o.Order_Date) AS int) AS Quarter,
   p.Product_Category, p.Product_Subcategory, p.Brand,
-  c.Customer_Segment, n.Country, o.Payment_Method, o.Order_Status,
-  c.Membership_Status, c.Customer_Age, c.c_acctbal AS Customer_Lifetime_Value,
+  o.Customer_Segment, o.Country, o.Payment_Method, o.Order_Status,
+  o.Membership_Status, o.Customer_Age, o.c_acctbal AS Customer_Lifetime_Value,
   cast(l.l_quantity AS int) AS Quantity, cast(p.p_retailprice AS double) AS Unit_Price,
   cast(l.disc AS int) AS Discount_Percent,
   floor((l.price * l.disc + 50) / 100) / 100 AS Discount_Amount,
@@ -43,19 +41,17 @@ FROM (SELECT *, cast(floor(l_extendedprice * 100 + 0.5) AS bigint) AS price,
              cast(floor(l_tax * 100 + 0.5) AS bigint) AS tax
       FROM {lineitem}) l
 JOIN (SELECT o_orderkey, o_custkey, cast(o_orderdate AS date) AS Order_Date,
-        lower(o_orderpriority) AS Payment_Method, lower(o_orderstatus) AS Order_Status
-      FROM {orders}) o ON l.l_orderkey = o.o_orderkey
-JOIN (SELECT c_custkey, c_nationkey, c_acctbal, lower(c_mktsegment) AS Customer_Segment,
+        lower(o_orderpriority) AS Payment_Method, lower(o_orderstatus) AS Order_Status,
+        c_acctbal, lower(c_mktsegment) AS Customer_Segment, lower(n_name) AS Country,
         CASE WHEN c_acctbal < 2500 THEN 'standard' WHEN c_acctbal < 5000 THEN 'silver'
              WHEN c_acctbal < 7500 THEN 'gold' ELSE 'platinum' END AS Membership_Status,
         CASE WHEN c_custkey % 37 = 0 THEN NULL
              ELSE cast(15 + c_custkey % 60 AS int) END AS Customer_Age
-      FROM {customer}) c ON o.o_custkey = c.c_custkey
+      FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+        JOIN {nation} ON c_nationkey = n_nationkey) o ON l.l_orderkey = o.o_orderkey
 JOIN (SELECT p_partkey, p_retailprice, lower(p_type) AS Product_Category,
         lower(p_name) AS Product_Subcategory, lower(p_brand) AS Brand
       FROM {part}) p ON l.l_partkey = p.p_partkey
-JOIN (SELECT n_nationkey, lower(n_name) AS Country FROM {nation}) n
-  ON c.c_nationkey = n.n_nationkey
 """
 
 RAW_LINES_SQL = """
@@ -108,11 +104,23 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute a test table that splits into fewer parts than there are cores.
+
+    The test tables are single files of one row group, which would keep every narrow step on
+    one core. Tables with enough splits come back as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def order_lines(spark: SparkSession, path: str) -> DataFrame:
     """Typed order lines; unused columns and joins' payload are pruned by the caller's plan."""
     query = ORDER_LINES_SQL.replace("{days}", _SPARK_DAYS)
     tables = {name: read_table(spark, path, name) for name in TABLES}
-    tables["lineitem"] = layers.spread(tables["lineitem"], "l_orderkey", "l_linenumber")
+    tables["lineitem"] = _spread(tables["lineitem"], "l_orderkey", "l_linenumber")
     return spark.sql(query, **tables)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import customers
 from orderlens.plans.features import job_features
-from orderlens.sources import layers, registry, scratch
+from orderlens.sources import layers, registry, scratch, star
 from tests.test_customers import lines  # noqa: F401  (fixture)
 
 
@@ -26,20 +26,19 @@ def test_appended_columns_are_null_in_older_rows(spark, tmp_path):
     assert sorted(map(tuple, log.collect())) == [("r1", None), ("r2", 0.5)]
 
 
-def test_single_csv_is_whole_on_both_ways(spark, tmp_path):
+def test_one_csv_file_only_on_request(spark, tmp_path):
     df = spark.range(100).repartition(4)
-    for limit, files in ((100, 1), (99, None)):
-        path = tmp_path / f"csv{limit}"
-        assert layers.write_csv_single(df, str(path), max_rows=limit) is (files == 1)
-        parts = list(Path(path).glob("part-*"))
-        assert len(parts) == files if files else len(parts) > 1
+    for write, single in ((layers.write_csv_single, True), (layers.write_csv, False)):
+        path = tmp_path / write.__name__
+        write(df, str(path))
+        assert (len(list(Path(path).glob("part-*"))) == 1) is single
         assert spark.read.schema("id long").option("header", True).csv(str(path)).count() == 100
 
 
 def test_scratch_needs_a_shared_folder_off_local(spark):
     class Conf:
         def get(self, key, default=None):
-            return {"spark.app.id": "app", "spark.master": "yarn"}.get(key, default)
+            return {"spark.app.id": "app", "spark.master": "yarn", "spark.sql.warehouse.dir": "file:/tmp/w"}.get(key, default)
 
     class Session:
         conf = Conf()
@@ -59,9 +58,9 @@ def test_durable_table_survives_its_source(spark, tmp_path):
 def test_spread_only_when_there_are_too_few_splits(spark):
     cores = spark.sparkContext.defaultParallelism
     few = spark.range(0, 100, 1, 1)
-    assert layers.spread(few, "id").rdd.getNumPartitions() == cores
+    assert star._spread(few, "id").rdd.getNumPartitions() == cores
     many = spark.range(0, 100, 1, cores + 3)
-    assert layers.spread(many, "id") is many
+    assert star._spread(many, "id") is many
 
 
 def test_quality_of_layers(spark):
