@@ -6,16 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens import fields
 from orderlens.functions.scoring import return_probability
-from orderlens.operators import categories, schema
+from orderlens.operators import schema
 
 WEIGHT = "class_weight"
-MAX_CLASSES = 100
 
 
 def feature_columns(df: DataFrame) -> tuple[list[str], list[str]]:
@@ -50,7 +50,22 @@ def assembler(categorical: Sequence[str], numeric: Sequence[str]) -> VectorAssem
     )
 
 
-def preparation_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list:
+def hasher(categorical: Sequence[str], width: int) -> FeatureHasher:
+    return FeatureHasher(
+        inputCols=list(categorical), outputCol="categories", numFeatures=width,
+        categoricalCols=list(categorical),
+    )
+
+
+def preparation_stages(
+    categorical: Sequence[str], numeric: Sequence[str], hash_features: int | None = None
+) -> list:
+    if hash_features and categorical:
+        inputs = ["categories", *numeric]
+        return [
+            hasher(categorical, hash_features),
+            VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"),
+        ]
     encoded = [string_indexer(categorical), one_hot_encoder(categorical)] if categorical else []
     return [*encoded, assembler(categorical, numeric)]
 
@@ -61,16 +76,16 @@ def train_random_forest(
     depth: int = fields.FOREST_DEPTH,
     weight: str | None = None,
     seed: int = fields.SPLIT_SEED,
+    hash_features: int | None = None,
     **options,
 ) -> PipelineModel:
     """Fit preprocessing and forest as one pipeline.
 
-    ``train`` is scanned several times and should be a written layer. Vocabularies are
-    held by the driver, so their size is checked first.
+    ``train`` is scanned several times and should be a written layer. Categories are
+    one-hot encoded, for which Spark's indexer holds their values on the driver; columns
+    of very many values take ``hash_features``, a vector of that width instead.
     """
     categorical, numeric = feature_columns(train)
-    if categorical:
-        categories.check_vocabularies(train, categorical)
     forest = RandomForestClassifier(
         labelCol=fields.LABEL,
         featuresCol="features",
@@ -82,7 +97,8 @@ def train_random_forest(
     )
     if weight:
         forest.setWeightCol(weight)
-    return Pipeline(stages=[*preparation_stages(categorical, numeric), forest]).fit(train)
+    stages = preparation_stages(categorical, numeric, hash_features)
+    return Pipeline(stages=[*stages, forest]).fit(train)
 
 
 def class_weights(df: DataFrame, label: str = fields.LABEL) -> DataFrame:
@@ -97,13 +113,21 @@ def class_weights(df: DataFrame, label: str = fields.LABEL) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = fields.LABEL) -> DataFrame:
-    """Attach each row's class weight as literals; the number of classes is checked."""
-    rows = class_weights(df, label).limit(MAX_CLASSES + 1).collect()
-    if not rows or len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has {len(rows)} classes or more; expected 1 to {MAX_CLASSES}")
-    weight: Column | None = None
-    for row in rows:
-        weight = (F if weight is None else weight).when(F.col(label) == row[label], row["weight"])
+    """Attach each row's class weight; the label must be 0, 1 or null.
+
+    Both class counts come from one aggregate, a scalar subquery of the same plan.
+    """
+    value = F.col(label)
+    ones, zeros = F.count_if(value == 1), F.count_if(value == 0)
+    present = F.when(ones > 0, 1).otherwise(0) + F.when(zeros > 0, 1).otherwise(0)
+    total = ((ones + zeros) / present).alias("share")
+    counts = df.agg(F.struct(total, ones.alias("ones"), zeros.alias("zeros"))).scalar()
+    weight = (
+        F.when(value.isNull(), F.lit(None).cast("double"))
+        .when(value == 1, counts["share"] / counts["ones"])
+        .when(value == 0, counts["share"] / counts["zeros"])
+        .otherwise(F.raise_error(F.lit(f"{label} must be 0 or 1")).cast("double"))
+    )
     return df.withColumn(WEIGHT, weight)
 
 
@@ -123,13 +147,18 @@ def batch_predict(model: PipelineModel, rows: DataFrame, keep: Sequence[str] = (
 
 
 def with_probability(predictions: DataFrame) -> DataFrame:
-    """Prediction layer with integer columns and the probability as a number."""
+    """Prediction layer with integer columns and the probability as a number.
+
+    The probability may be a model's vector, or the array that formats without vectors store.
+    """
     schema.require_columns(predictions, [fields.LABEL, "prediction", "probability"])
+    stored = isinstance(predictions.schema["probability"].dataType, T.ArrayType)
+    probability = F.col("probability")
     return predictions.withColumns(
         {
             fields.LABEL: F.col(fields.LABEL).cast("int"),
             "default_prediction": F.col("prediction").cast("int"),
-            "return_probability": return_probability(F.col("probability")),
+            "return_probability": probability[1] if stored else return_probability(probability),
         }
     ).drop("prediction", "probability")
 

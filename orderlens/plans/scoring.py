@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,10 +39,12 @@ def prepare_records(
 
     Columns are found in any case; others are ignored. Text gets the cleaning of the
     silver layer, and date features come from an order date where they are not given. A
-    missing category stays null and an unknown one unknown, which both set no indicator; a
+    missing or unknown category sets the extra last indicator, which training never sees; a
     missing number becomes its entry in ``defaults`` (such as ``training_means``), or 0.
     """
     given = {name.lower(): F.col(f"`{name}`") for name in records.columns}
+    if len(given) < len(records.columns):
+        raise ValueError(f"columns differ only in case: {sorted(records.columns)}")
     if "order_date" in given:
         given = date_parts(given["order_date"]) | given
     missing, values = F.lit(None), defaults or {}
@@ -66,6 +68,16 @@ def training_means(train: DataFrame) -> dict[str, float]:
     return {name: mean for name, mean in means.items() if mean is not None}
 
 
+def defaults_table(spark: SparkSession, defaults: Mapping[str, float]) -> DataFrame:
+    """Scoring defaults as a layer beside the model; ``read_defaults`` is the way back."""
+    return spark.createDataFrame(list(defaults.items()), "feature string, value double")
+
+
+def read_defaults(table: DataFrame) -> dict[str, float]:
+    """One row per numeric feature."""
+    return {row["feature"]: row["value"] for row in table.collect()}
+
+
 def score_batch(
     model: PipelineModel,
     records: DataFrame,

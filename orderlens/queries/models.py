@@ -6,9 +6,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from orderlens import fields
-from orderlens.operators import categories, evaluation, forest, schema, splits
+from orderlens.functions import scoring as expressions
+from orderlens.operators import comparison, evaluation, forest, schema, splits
 from orderlens.plans import scoring, training
 from orderlens.queries.registry import over_lines, query
+from orderlens.queries.tables import BUCKET_SQL, FEATURE_SQL, MIN_COUNT
 from orderlens.sources import layers, scratch, star
 from orderlens.streaming import scoring as streaming
 
@@ -29,7 +31,6 @@ def _ranked(column: str) -> str:
 @query("string_index", over_lines(" UNION ALL ".join(_ranked(c) for c in _INDEXED)))
 def string_index(spark, sf):
     lines = star.order_lines(spark, sf).select(_INDEXED)
-    categories.check_vocabularies(lines, _INDEXED)
     indexed = forest.string_indexer(_INDEXED).fit(lines).transform(lines)
     pairs = F.array(
         *[
@@ -93,55 +94,131 @@ def assemble_vector(spark, sf):
     )
 
 
+# order lines that the feature layer keeps, by split, for all oracles below
+_ROWS_V = (
+    ", f AS (SELECT Order_ID, "
+    + ", ".join(f"{sql} AS {name}" for name, sql in FEATURE_SQL.items())
+    + f", CASE WHEN {BUCKET_SQL} < {fields.TRAIN_PERCENT} THEN 'train' ELSE 'test' END AS split"
+    + " FROM orders_v), rows_v AS (SELECT * FROM f WHERE "
+    + " AND ".join(f"{name} IS NOT NULL" for name in FEATURE_SQL)
+    + ")"
+)
+_TRAINED_SQL = over_lines(
+    f"{_ROWS_V} SELECT count(*) FILTER (WHERE split = 'train') AS train_rows, "
+    "count(*) FILTER (WHERE split = 'test') AS test_rows, "
+    "count(*) FILTER (WHERE split = 'test' AND returned = 1) AS test_positives, "
+    "true AS cells_add_up, true AS accuracy_agrees, true AS auc_in_range FROM rows_v"
+)
+
+
 def prepared_splits(spark, sf):
     """Feature layer of all order lines, split by order; both parts written."""
     path = scratch.scratch_path(spark, "splits")
-    return training.write_splits(star.order_lines(spark, sf), path)
+    return training.write_splits(star.order_lines(spark, sf), path, min_count=MIN_COUNT)
+
+
+def _close(a, b):
+    return F.abs(a - b) < 1e-9
 
 
-def test_metrics(model, test):
-    """Size and default metrics of a model on the test split."""
+def trained(model, train, test):
+    """What must hold for any model: rows of both splits, and metrics that agree with the cells."""
     predictions = scratch.durable(
         forest.with_probability(forest.batch_predict(model, test)), "predictions"
     )
-    return training.evaluate_model(predictions).withColumn(
-        "test_rows", F.lit(predictions.count())
+    cells = evaluation.confusion_counts(predictions, fields.LABEL, F.col("default_prediction"))
+    tp, fp, tn, fn = (F.col(c) for c in evaluation.COUNTS)
+    n = F.lit(predictions.count())
+    metrics = training.evaluate_model(predictions)
+    return cells.crossJoin(metrics).select(
+        F.lit(train.count()).alias("train_rows"),
+        n.alias("test_rows"),
+        (tp + fn).alias("test_positives"),
+        (tp + fp + tn + fn == n).alias("cells_add_up"),
+        _close(F.col("test_accuracy"), (tp + tn) / n).alias("accuracy_agrees"),
+        F.col("test_auc").between(0, 1).alias("auc_in_range"),
     )
 
 
-@query("train_random_forest")
+@query("train_random_forest", _TRAINED_SQL)
 def train_random_forest(spark, sf):
     train, test = prepared_splits(spark, sf)
-    return test_metrics(forest.train_random_forest(train, TREES, DEPTH), test)
+    return trained(forest.train_random_forest(train, TREES, DEPTH), train, test)
 
 
-@query("train_balanced_forest")
+@query("train_balanced_forest", _TRAINED_SQL)
 def train_balanced_forest(spark, sf):
     train, test = prepared_splits(spark, sf)
-    return test_metrics(forest.train_balanced_forest(train, TREES, DEPTH), test)
+    return trained(forest.train_balanced_forest(train, TREES, DEPTH), train, test)
 
 
-@query("batch_predict")
+@query(
+    "batch_predict",
+    over_lines(
+        f"{_ROWS_V} SELECT Order_ID AS order_id, returned, true AS consistent "
+        "FROM rows_v WHERE split = 'test'"
+    ),
+)
 def batch_predict(spark, sf):
+    """Key and label of every test row, and whether prediction and probability agree."""
     train, test = prepared_splits(spark, sf)
     model = forest.train_random_forest(train, TREES, DEPTH)
-    return forest.with_probability(forest.batch_predict(model, test, keep=[fields.SPLIT_KEY]))
+    rows = forest.with_probability(forest.batch_predict(model, test, keep=[fields.SPLIT_KEY]))
+    p, yes = F.col("return_probability"), F.col("default_prediction") == 1
+    return rows.select(
+        fields.SPLIT_KEY, fields.LABEL, (p.between(0, 1) & (yes == (p > 0.5))).alias("consistent")
+    )
 
 
-@query("feature_importances")
+_WIDTH_SQL = " + ".join(
+    f"count(DISTINCT {name}) + 1" for name in FEATURE_SQL if name in fields.CATEGORICAL_FEATURES
+)
+
+
+@query(
+    "feature_importances",
+    over_lines(
+        f"{_ROWS_V} SELECT cast({_WIDTH_SQL} + "
+        f"{sum(name in fields.NUMERIC_FEATURES for name in FEATURE_SQL)} AS bigint) AS features, "
+        "true AS names_differ, true AS adds_up FROM rows_v WHERE split = 'train'"
+    ),
+)
 def feature_importances(spark, sf):
+    """One importance for each number, each category and each unseen category; they add up to 1."""
     train, _ = prepared_splits(spark, sf)
-    return forest.feature_importances(forest.train_random_forest(train, TREES, DEPTH), train)
+    found = forest.feature_importances(forest.train_random_forest(train, TREES, DEPTH), train)
+    return found.agg(
+        F.count("*").alias("features"),
+        (F.count_distinct("feature") == F.count("*")).alias("names_differ"),
+        _close(F.sum("importance"), F.lit(1.0)).alias("adds_up"),
+    )
 
 
-@query("model_save_load")
+@query(
+    "model_save_load",
+    over_lines(
+        f"{_ROWS_V} SELECT count(*) AS n, cast(0 AS bigint) AS changed "
+        "FROM rows_v WHERE split = 'test'"
+    ),
+)
 def model_save_load(spark, sf):
-    """Confusion matrix of a model that was saved and loaded again."""
+    """Test rows, and how many of them a saved and loaded model scores differently."""
     train, test = prepared_splits(spark, sf)
     path = scratch.scratch_path(spark, "model")
-    forest.save_model(forest.train_random_forest(train, TREES, DEPTH), path)
-    predictions = forest.batch_predict(forest.load_model(path), test)
-    return evaluation.confusion_matrix(predictions, fields.LABEL, "prediction")
+    model = forest.train_random_forest(train, TREES, DEPTH)
+    forest.save_model(model, path)
+    before, after = (
+        forest.with_probability(forest.batch_predict(m, test, keep=[fields.SPLIT_KEY]))
+        for m in (model, forest.load_model(path))
+    )
+    return _differing(before, after)
+
+
+def _differing(rows, others):
+    """Rows of the first table, and rows that are in only one of both, as often as they are."""
+    rows, others = scratch.durable(rows, "rows"), scratch.durable(others, "others")
+    changed = rows.exceptAll(others).unionAll(others.exceptAll(rows))
+    return rows.agg(F.count("*").alias("n")).crossJoin(changed.agg(F.count("*").alias("changed")))
 
 
 def _records(spark, sf):
@@ -151,11 +228,27 @@ def _records(spark, sf):
     )
 
 
-@query("score_batch")
+@query(
+    "score_batch",
+    over_lines(
+        "SELECT Order_ID AS order_id, Product_ID AS product_id, "
+        f"cast({fields.SERVING_THRESHOLD} AS double) AS threshold, true AS consistent FROM orders_v"
+    ),
+)
 def score_batch(spark, sf):
+    """Every record once, and whether decision and risk label agree with the probability."""
     train, _ = prepared_splits(spark, sf)
     model = forest.train_balanced_forest(train, TREES, DEPTH)
-    return scoring.score_batch(model, _records(spark, sf), keep=["order_id", "product_id"])
+    scores = scoring.score_batch(model, _records(spark, sf), keep=["order_id", "product_id"])
+    p, half_step = F.col("return_probability"), 1e-3  # the decision uses the unrounded value
+    decided = F.when(F.col("prediction") == 1, p >= F.col("threshold") - half_step).otherwise(
+        p <= F.col("threshold") + half_step
+    )
+    labelled = F.col("risk_label").isin(
+        expressions.risk_label(p), expressions.risk_label(p - half_step),
+        expressions.risk_label(p + half_step),
+    )
+    return scores.select("order_id", "product_id", "threshold", (decided & labelled).alias("consistent"))
 
 
 @query(
@@ -175,36 +268,72 @@ def score_labels(spark, sf):
     )
 
 
-@query("stream_score")
+@query(
+    "stream_score",
+    over_lines("SELECT count(*) AS n, cast(0 AS bigint) AS changed FROM orders_v"),
+)
 def stream_score(spark, sf):
+    """Rows scored in batch, and rows that the stream scores differently."""
     train, _ = prepared_splits(spark, sf)
     model = forest.train_balanced_forest(train, TREES, DEPTH)
     records = scratch.durable(_records(spark, sf), "records")
     source = records.inputFiles()[0].rsplit("/", 1)[0]
-    output = scratch.scratch_path(spark, "scores")
+    output, keep = scratch.scratch_path(spark, "scores"), ["order_id", "product_id"]
     running = streaming.stream_score(
         model,
         streaming.read_records(spark, source, records.schema),
         output,
         scratch.scratch_path(spark, "scores_checkpoint"),
-        keep=["order_id", "product_id"],
+        keep=keep,
     )
     running.awaitTermination()
-    return layers.read_layer(spark, output)
+    streamed = layers.read_layer(spark, output)
+    return _differing(scoring.score_batch(model, records, keep=keep), streamed)
 
 
-@query("job_train_tune_compare")
+@query(
+    "job_train_tune_compare",
+    over_lines(
+        f"{_ROWS_V}, n AS (SELECT count(*) FILTER (WHERE split = 'train') AS train_rows, "
+        "count(*) FILTER (WHERE split = 'test') AS test_rows FROM rows_v) "
+        "SELECT m AS model_name, train_rows, test_rows, true AS cells_add_up, "
+        "true AS rates_agree, true AS threshold_agrees FROM n, "
+        f"(SELECT unnest(['{comparison.TUNED_MODEL['model_name']}', "
+        f"'{comparison.BALANCED_MODEL['model_name']}']) AS m)"
+    ),
+)
 def job_train_tune_compare(spark, sf):
+    """Both models' rows; their rates, and the chosen threshold, recomputed from stored layers."""
     path = scratch.scratch_path(spark, "job")
-    written = training.job_train_tune_compare(star.order_lines(spark, sf), path, SETTINGS)
-    return written["rf_model_comparison"]
+    written = training.job_train_tune_compare(
+        star.order_lines(spark, sf), path, SETTINGS, min_count=MIN_COUNT
+    )
+    best = evaluation.best_threshold(written["rf_threshold_metrics"]).select("threshold").scalar()
+    tuned = F.col("model_name") == comparison.TUNED_MODEL["model_name"]
+    tp, fp, tn, fn = (F.col(c) for c in evaluation.COUNTS)
+    return written["rf_model_comparison"].select(
+        "model_name",
+        "train_rows",
+        "test_rows",
+        (tp + fp + tn + fn == F.col("test_rows")).alias("cells_add_up"),
+        (
+            _close(F.col("precision"), evaluation.ratio(tp, tp + fp))
+            & _close(F.col("recall"), evaluation.ratio(tp, tp + fn))
+            & _close(F.col("accuracy"), (tp + tn) / F.col("test_rows"))
+        ).alias("rates_agree"),
+        (
+            F.col("decision_threshold")
+            == F.when(tuned, best).otherwise(F.lit(fields.SERVING_THRESHOLD))
+        ).alias("threshold_agrees"),
+    )
 
 
-@query("random_split")
+@query("random_split", over_lines("SELECT Returned, count(*) AS n FROM orders_v GROUP BY Returned"))
 def random_split(spark, sf):
-    """Spark's own split, whose rows depend on the partitioning."""
+    """Both parts of Spark's own split hold every row once; which part is not fixed."""
     lines = star.order_lines(spark, sf).select("Order_ID", "Returned")
-    train, test = splits.random_split(lines)
-    return splits.tagged_union(
-        scratch.durable(train, "train"), scratch.durable(test, "test")
-    ).groupBy("split", "Returned").agg(F.count("*").alias("n"))
+    return (
+        splits.tagged_union(*splits.random_split(lines))
+        .groupBy("Returned")
+        .agg(F.count("*").alias("n"))
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -35,14 +35,16 @@ def stream_score(
     threshold: float = fields.SERVING_THRESHOLD,
     keep: Sequence[str] = (),
     interval: str | None = None,
+    fmt: str = "parquet",
+    defaults: Mapping[str, float] | None = None,
 ) -> StreamingQuery:
-    """Append scores to a Parquet layer, each record exactly once.
+    """Append scores to a layer of files, each record exactly once.
 
     Scoring is stateless. Without ``interval`` the query handles what is there and ends.
     """
     writer = (
-        score_batch(model, records, threshold, keep)
-        .writeStream.format("parquet")
+        score_batch(model, records, threshold, keep, defaults)
+        .writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
