@@ -204,17 +204,22 @@ def add_age_bucket(customers: DataFrame) -> DataFrame:
 def add_tenure_recency(customers: DataFrame) -> DataFrame:
     """Days between first and last order, and from the last order to the latest of all.
 
-    The latest date is a scalar subquery, so nothing is collected and no row is multiplied.
+    Both are null where a date is missing.
     """
-    latest = customers.agg(F.max("last_order_date")).scalar()
-    return customers.withColumns(
-        {
-            "customer_tenure_days": F.datediff("last_order_date", "first_order_date"),
-            "recency_days": F.datediff(latest, F.col("last_order_date")),
-        }
+    tenure = F.datediff("last_order_date", "first_order_date")
+    return add_days_before_latest(
+        customers.withColumn("customer_tenure_days", tenure), "last_order_date", "recency_days"
     )
 
 
+def add_days_before_latest(df: DataFrame, date: str, days: str) -> DataFrame:
+    """Days from each row's date to the latest of all rows.
+
+    The latest date is a scalar subquery, so nothing is collected and no row is multiplied.
+    """
+    return df.withColumn(days, F.datediff(df.agg(F.max(date)).scalar(), F.col(date)))
+
+
 def add_rfm(
     customers: DataFrame,
     recency_nulls: str = ranking.NULLS_LAST,

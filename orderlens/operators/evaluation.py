@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens import fields
@@ -253,7 +253,9 @@ def metrics_row(df: DataFrame, values: dict[str, float]) -> DataFrame:
 
 
 def sorted_metrics(metrics: DataFrame) -> DataFrame:
-    return metrics.orderBy(F.desc("f1"), F.asc("threshold"))
+    """Metric rows, of which there is one per threshold, in report order with their place."""
+    order = [F.desc("f1"), F.asc("threshold")]
+    return metrics.withColumn("place", F.row_number().over(Window.orderBy(*order))).orderBy("place")
 
 
 def metric_value(comparison: DataFrame, keyword: str, metric: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,16 @@ def value_counts(df: DataFrame, *columns: str, count: str = "n") -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias(count))
 
 
+def conditional_counts(df: DataFrame, key: str, conditions: Mapping[str, Column]) -> DataFrame:
+    """Per key, the rows that meet each named condition; null conditions are not met."""
+    return df.groupBy(key).agg(*[F.count_if(c).alias(n) for n, c in conditions.items()])
+
+
+def top_rows(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:
+    """The first ``k`` rows in an order; every task keeps ``k`` rows at most."""
+    return df.orderBy(*order).limit(k)
+
+
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     return value_counts(df, label).orderBy(label)
 

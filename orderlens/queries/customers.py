@@ -174,8 +174,7 @@ def tenure_recency(spark, sf):
 )
 def scalar_max_join(spark, sf):
     lines = star.order_lines(spark, sf).select("Order_ID", "Order_Date")
-    latest = lines.agg(F.max("Order_Date")).scalar()
-    return lines.withColumn("days_ago", F.datediff(latest, "Order_Date"))
+    return ops.add_days_before_latest(lines, "Order_Date", "days_ago")
 
 
 @query(
@@ -183,7 +182,6 @@ def scalar_max_join(spark, sf):
     over_lines(f"{_DAYS_V} SELECT Customer_ID, {_TILES} FROM days_v"),
 )
 def rfm_ntile(spark, sf):
-    """Always on the distributed path, whatever the number of customers."""
     features = ops.customer_features(written_lines(spark, sf))
     return features.select(ops.KEY, "r_score", "f_score", "m_score")
 

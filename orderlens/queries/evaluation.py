@@ -69,11 +69,7 @@ def best_threshold(spark, sf):
 def sort_table(spark, sf):
     """The five metric rows in report order; their place shows the order."""
     metrics = ops.threshold_metrics(scored(spark, sf), "Returned", "Score")
-    rows = ops.sorted_metrics(metrics).select("threshold", "f1").collect()
-    return spark.createDataFrame(
-        [(i, row["threshold"], row["f1"]) for i, row in enumerate(rows, start=1)],
-        "place int, threshold double, f1 double",
-    )
+    return ops.sorted_metrics(metrics).select("place", "threshold", "f1")
 
 
 @query(
@@ -152,12 +148,8 @@ def extract_probability(spark, sf):
     ),
 )
 def top_k_scores(spark, sf):
-    return (
-        scored(spark, sf)
-        .select("Score", "Order_ID", "Product_ID", "Returned")
-        .orderBy(F.desc("Score"), "Order_ID", "Product_ID", "Returned")
-        .limit(15)
-    )
+    rows = scored(spark, sf).select("Score", "Order_ID", "Product_ID", "Returned")
+    return quality.top_rows(rows, [F.desc("Score"), "Order_ID", "Product_ID", "Returned"], 15)
 
 
 @query(

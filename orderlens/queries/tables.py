@@ -28,10 +28,8 @@ def capped(column: str, source: str = "orders_v", min_count: int = MIN_COUNT) ->
 )
 def conditional_count(spark, sf):
     lines = star.order_lines(spark, sf)
-    return lines.groupBy("Product_Category").agg(
-        F.count_if(F.col("Returned") == 1).alias("returned_lines"),
-        F.count_if(F.col("Quantity") > 25).alias("bulk_lines"),
-    )
+    conditions = {"returned_lines": F.col("Returned") == 1, "bulk_lines": F.col("Quantity") > 25}
+    return quality.conditional_counts(lines, "Product_Category", conditions)
 
 
 @query(
