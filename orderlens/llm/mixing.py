@@ -25,6 +25,8 @@ from orderlens.sources import scratch
 #: Slots of a cycle, about; a weight is rounded to a whole number of them, at least one.
 CYCLE = 1000
 BLOCK_ROWS = 64
+#: Scheduled slots up to which the schedules are broadcast; beyond, they are joined.
+BROADCAST_SLOTS = 4_000_000
 #: Rows that are numbered in one group, on average.
 GROUP_ROWS = 4096
 
@@ -192,6 +194,7 @@ def mix(
     )
     weights = source_weights(named, targets, rest, temperature)
     schedules = scratch.durable(cycle_schedules(weights, cycle, block_rows), "mix-schedules")
+    slots = schedules.agg(F.sum(F.size("places"))).first()[0] or 0
     patterns = schedules.groupBy(F.col("key").alias("key__")).agg(
         F.first("q").alias("q__"),
         F.sort_array(
@@ -205,7 +208,7 @@ def mix(
         .join(offsets, ["key__", "group__"])
         .withColumn("rank__", F.col("rank__") + F.col("offset__"))
         .withColumn("mix_block", F.floor(F.col("rank__") / block_rows).cast("long"))
-        .join(patterns, "key__")
+        .join(F.broadcast(patterns) if slots <= BROADCAST_SLOTS else patterns, "key__")
     )
     turn = F.floor(F.col("mix_block") / F.col("q__"))
     pattern = F.element_at(

@@ -58,7 +58,7 @@ RULES: tuple[Rule, ...] = (
     Rule("short_words", lambda m: m["word_chars"] < 3 * m["n_words"]),
     Rule("long_words", lambda m: m["word_chars"] > 10 * m["n_words"]),
     Rule("symbols", lambda m: 10 * m["n_symbols"] > m["n_words"]),
-    Rule("repeated_lines", lambda m: 10 * m["n_dup_lines"] > 3 * m["n_lines"]),
+    Rule("repeated_lines", lambda m: 2 * m["n_dup_lines"] > m["n_lines"]),
     Rule("some_repetition", lambda m: 100 * m["n_repeat_words"] > 25 * m["n_words"]),
     Rule("shouting", lambda m: 10 * m["n_upper"] > 3 * m["word_chars"]),
     Rule("too_many_words", lambda m: m["n_words"] > 100_000),

@@ -51,7 +51,7 @@ m AS (SELECT doc_id, cast(len(words) AS bigint) AS n_words,
   FROM w LEFT JOIN rep USING (r)),
 f AS (SELECT *, n_words < 50 AS b0, 100 * n_repeat_words > 50 * n_words AS b1,
   word_chars < 3 * n_words AS b2, word_chars > 10 * n_words AS b3, 10 * n_symbols > n_words AS b4,
-  10 * n_dup_lines > 3 * n_lines AS b5, 100 * n_repeat_words > 25 * n_words AS b6,
+  2 * n_dup_lines > n_lines AS b5, 100 * n_repeat_words > 25 * n_words AS b6,
   10 * n_upper > 3 * word_chars AS b7, n_words > 100000 AS b8 FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_upper,
   cast(b0::int + 2 * b1::int + 4 * b2::int + 8 * b3::int + 16 * b4::int + 32 * b5::int
