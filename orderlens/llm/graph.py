@@ -2,48 +2,77 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.sources import scratch
 
+#: Rounds that only pass labels on, before each that also follows the label's label.
+PLAIN_ROUNDS = 2
+
+
+def _contract(batches: Iterator) -> Iterator:
+    """The edges of one task as stars: every node with the least node it reaches there."""
+    import pyarrow as pa
+
+    parent: dict[int, int] = {}
+
+    def root(n: int) -> int:
+        top = n
+        while (up := parent.setdefault(top, top)) != top:
+            top = up
+        while parent[n] != top:
+            parent[n], n = top, parent[n]
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = root(a), root(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    nodes = list(parent)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(nodes, pa.int64()), pa.array([root(n) for n in nodes], pa.int64())],
+        names=["a", "b"],
+    )
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``node``, ``label`` for every node of ``edges`` (a, b): the least node it reaches.
 
-    Every round a node takes the least label of its neighbours, then the label of its label,
-    so that stars take two rounds and long paths a number that grows with the logarithm of
-    their length. Each round is written and read again. Rounds end when no label changes.
+    Each task first reduces its own edges to stars. Then every round a node takes the least
+    label of its neighbours; after some rounds also the label of its label, so that long
+    paths take a number of rounds that grows with the logarithm of their length. Each round
+    is written and read again. Rounds end when no label changes. Nodes are never null.
     """
-    both = scratch.durable(
-        edges.select("a", "b")
-        .union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .where(F.col("a") != F.col("b"))
-        .distinct(),
-        "component-edges",
+    stars = scratch.durable(
+        edges.select("a", "b").mapInArrow(_contract, "a long, b long"), "component-stars"
     )
+    both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b")
     labels = scratch.durable(
-        both.groupBy(F.col("a").alias("node")).agg(
-            F.least(F.col("a"), F.min("b")).alias("label")
-        ),
+        stars.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")),
         "component-labels",
     )
+    rounds = 0
     while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        hooked = labels.join(near, "node").select(
-            "node", F.col("label").alias("old"), F.least("label", "near").alias("up")
+        heard = both.join(labels.select(F.col("node").alias("b"), "label"), "b").select(
+            F.col("a").alias("node"), "label", F.lit(None).cast("long").alias("own")
         )
-        above = labels.select(F.col("node").alias("up"), F.col("label").alias("top"))
-        moved = scratch.durable(
-            hooked.join(above, "up").select(
-                "node", F.least("up", "top").alias("label"), "old"
-            ),
-            "component-labels",
+        told = labels.select("node", "label", F.col("label").alias("own"))
+        moved = (
+            heard.union(told)
+            .groupBy("node")
+            .agg(F.min("label").alias("label"), F.min("own").alias("old"))
         )
+        rounds += 1
+        if rounds % (PLAIN_ROUNDS + 1) == 0:
+            above = labels.select(F.col("node").alias("label"), F.col("label").alias("top"))
+            moved = moved.join(above, "label").select(
+                "node", F.least("label", "top").alias("label"), "old"
+            )
+        moved = scratch.durable(moved, "component-labels")
         labels = moved.select("node", "label")
         if moved.where(F.col("label") != F.col("old")).isEmpty():
             return labels

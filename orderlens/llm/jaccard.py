@@ -6,8 +6,8 @@ t share, in the order of the hashes, at least L of their first P + L - 1 members
 where P = n - ceil(t * n) + 1. So candidates come from prefixes alone:
 
 * Members that many prefixes hold (``HOT`` or more) generate no candidates. A document
-  lengthens its prefix until P members of it are rare, and further by the logarithm of
-  the candidates that its prefix promises. With h hot and e further members, two documents
+  lengthens its prefix until P members of it are rare, and further by ``LENGTHEN`` times
+  the logarithm of the candidates that its prefix promises. With h hot and e further members, two documents
   of prefixes P + h + e must share h + e + 1 members, and so at least e + 1 rare ones.
 * The shorter of the two lengthenings counts for a pair.
 * Documents that stay without P rare members within the stored prefix are dense: they
@@ -35,7 +35,9 @@ from orderlens.llm.graph import components
 from orderlens.sources import scratch
 
 #: Prefixes that hold a member from which on it generates no candidates by itself.
-HOT = 64
+HOT = 32
+#: Members by which a prefix is lengthened for each doubling of its candidates.
+LENGTHEN = 3
 #: Documents of a block: what one task compares at a time with as many others.
 BLOCK = 1024
 #: Rows up to which a table of document keys is broadcast; beyond, it is joined.
@@ -298,7 +300,7 @@ def _candidates(members: DataFrame, percent: int) -> DataFrame:
             F.when(F.col("dense"), 0).otherwise(
                 F.least(
                     F.col("spare"),
-                    F.ceil(F.log2(1 + F.coalesce(F.col("cost"), F.lit(0)))).cast("int"),
+                    F.ceil(LENGTHEN * F.log2(1 + F.coalesce(F.col("cost"), F.lit(0)))).cast("int"),
                 )
             ),
         )
@@ -352,6 +354,11 @@ def _candidates(members: DataFrame, percent: int) -> DataFrame:
     return pairs.union(glue)
 
 
+def _small(keys: DataFrame) -> DataFrame:
+    """Keys with a broadcast hint if they are few, else as they are."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
 def _blocks(size: Column) -> Column:
     return F.ceil(size / BLOCK).cast("int")
 
@@ -466,9 +473,22 @@ def join(
         ),
         "jaccard-kinds",
     )
+    copies = scratch.durable(
+        docs.where("n > 0")
+        .select("row__", "print")
+        .join(kinds.select("print", "node"), "print")
+        .where("row__ <> node")
+        .select("row__"),
+        "jaccard-copies",
+    )
     members = (
-        docs.join(kinds.select(F.col("node").alias("row__")), "row__", "left_semi")
-        .select(F.col("row__").alias("node"), F.col("n").cast("int").alias("n"), F.posexplode("members").alias("pos", "t"))
+        docs.where("n > 0")
+        .join(_small(copies), "row__", "left_anti")
+        .select(
+            F.col("row__").alias("node"),
+            F.col("n").cast("int").alias("n"),
+            F.posexplode("members").alias("pos", "t"),
+        )
     )
     edges = scratch.durable(_candidates(members, rule.percent), "jaccard-candidates")
     clusters = components(edges).withColumnRenamed("label", "cluster")
@@ -478,9 +498,7 @@ def join(
         "jaccard-clusters",
     )
     keys = wanted.select("text_hash").distinct()
-    if keys.count() <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    texts = source.select("text_hash", "text__").join(keys, "text_hash", "left_semi")
+    texts = source.select("text_hash", "text__").join(_small(keys), "text_hash", "left_semi")
     sets = texts.dropDuplicates(["text_hash"]).mapInArrow(
         _whole_sets(rule), "text_hash long, members binary"
     )
