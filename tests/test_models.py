@@ -145,6 +145,8 @@ def test_whole_job(spark, silver, tmp_path):
     assert rows["balanced"]["recall"] > 0
     run_ids = {r["run_id"] for r in written["rf_threshold_metrics"].collect()}
     assert run_ids == {rows["None"]["source_run_id"]}
-    # a second run appends to the log and compares its own run only
+    # a second run appends both models to the log and compares its own runs only
     again = training.job_train_tune_compare(silver, path, small)
-    assert again["rf_train_runs"].count() == 2 and again["rf_model_comparison"].count() == 2
+    assert again["rf_train_runs"].count() == 4 and again["rf_model_comparison"].count() == 2
+    newest = {r["source_run_id"] for r in again["rf_model_comparison"].collect()}
+    assert not newest & {r["source_run_id"] for r in rows.values()}
