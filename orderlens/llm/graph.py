@@ -42,22 +42,24 @@ def _contract(batches: Iterator) -> Iterator:
 def components(edges: DataFrame) -> DataFrame:
     """``node``, ``label`` for every node of ``edges`` (a, b): the least node it reaches.
 
-    Each task first reduces its own edges to stars. Then every round a node takes the least
-    label of its neighbours; after some rounds also the label of its label, so that long
-    paths take a number of rounds that grows with the logarithm of their length. Each round
-    is written and read again. Rounds end when no label changes. Nodes are never null.
+    Each task first reduces its own edges to stars. Then every round a node hears the labels
+    of the neighbours whose label changed in the round before, and takes the least; after some
+    rounds also the label of its label, so that long paths take a number of rounds that
+    grows with the logarithm of their length. Each round is written and read again. Rounds
+    end when no label changes. Nodes are never null.
     """
     stars = scratch.durable(
-        edges.select("a", "b").mapInArrow(_contract, "a long, b long"), "component-stars"
+        edges.select("a", "b").mapInArrow(_contract, "a long, b long").distinct(),
+        "component-stars",
     )
     both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b")
     labels = scratch.durable(
         stars.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")),
         "component-labels",
     )
-    rounds = 0
+    rounds, changed = 0, labels
     while True:
-        heard = both.join(labels.select(F.col("node").alias("b"), "label"), "b").select(
+        heard = both.join(changed.select(F.col("node").alias("b"), "label"), "b").select(
             F.col("a").alias("node"), "label", F.lit(None).cast("long").alias("own")
         )
         told = labels.select("node", "label", F.col("label").alias("own"))
@@ -74,5 +76,6 @@ def components(edges: DataFrame) -> DataFrame:
             )
         moved = scratch.durable(moved, "component-labels")
         labels = moved.select("node", "label")
-        if moved.where(F.col("label") != F.col("old")).isEmpty():
+        changed = moved.where(F.col("label") != F.col("old"))
+        if changed.isEmpty():
             return labels

@@ -142,11 +142,12 @@ def _whole_sets(rule: Similarity):
         import pyarrow as pa
 
         shingler = Shingler(rule.shingle)
+        kept = ("node", "cluster", "size")
         for batch in batches:
             blobs = [shingler(text.as_py()).tobytes() for text in batch.column("text__")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("text_hash"), pa.array(blobs, pa.binary())],
-                names=["text_hash", "members"],
+                [*(batch.column(c) for c in kept), pa.array(blobs, pa.binary())],
+                names=[*kept, "members"],
             )
 
     return run
@@ -233,8 +234,9 @@ def _compare(percent: int):
 
         def done(nodes, sides, labels, blobs):
             sets = [np.frombuffer(b, np.uint64) for b in blobs]
-            order = sorted(range(len(nodes)), key=lambda k: sides[k])
-            cut = sum(1 for s in sides if not s)
+            once = {(side, node): k for k, (side, node) in enumerate(zip(sides, nodes, strict=True))}
+            order = [once[key] for key in sorted(once)]
+            cut = sum(1 for side, _ in once if not side)
             known = np.array([labels[k] for k in order], dtype=np.int64)
             ordered = [sets[k] for k in order]
             roots = linked(
@@ -325,23 +327,33 @@ def _candidates(members: DataFrame, percent: int) -> DataFrame:
         ~F.col("hot")
         & (F.col("dense") | (F.col("rare_place") < F.col("p") + F.col("more")))
     ).select("t", "node", "n", "pos", "p", "length", (F.col("more") + 1).alias("need"))
-    a = used.select("t", *[F.col(c).alias(f"{c}_a") for c in used.columns[1:]])
-    b = used.select("t", *[F.col(c).alias(f"{c}_b") for c in used.columns[1:]])
-    short = F.least("length_a", "length_b")
+    # at most HOT rows of a member meet, in one row
+    met = used.groupBy("t").agg(
+        F.collect_list(F.struct(*[c for c in used.columns if c != "t"])).alias("all")
+    ).where(F.size("all") > 1)
+    a, b = F.col("a"), F.col("b")
+    short = F.least(a["length"], b["length"])
+
+    def partners(a):
+        return lambda b: (a["node"] < b["node"]) & (
+            100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"])
+        )
+
     pairs = (
-        a.join(b, "t")
-        .where(F.col("node_a") < F.col("node_b"))
-        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .where((F.col("pos_a") < F.col("p_a") + short - 1) & (F.col("pos_b") < F.col("p_b") + short - 1))
-        .withColumn(
-            "need",
-            F.when(F.col("length_a") < F.col("length_b"), F.col("need_a"))
-            .when(F.col("length_a") > F.col("length_b"), F.col("need_b"))
-            .otherwise(F.greatest("need_a", "need_b")),
+        met.select("all", F.explode("all").alias("a"))
+        .select("a", F.explode(F.filter("all", partners(a))).alias("b"))
+        .where((a["pos"] < a["p"] + short - 1) & (b["pos"] < b["p"] + short - 1))
+        .select(
+            a["node"].alias("a"),
+            b["node"].alias("b"),
+            F.when(a["length"] < b["length"], a["need"])
+            .when(a["length"] > b["length"], b["need"])
+            .otherwise(F.greatest(a["need"], b["need"]))
+            .alias("need"),
         )
-        .groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        .groupBy("a", "b")
         .agg(F.count("*").alias("matches"), F.max("need").alias("need"))
-        .where(F.col("matches") >= F.col("need"))
+        .where("matches >= need")
         .select("a", "b")
     )
     crowd = placed.where(F.col("hot") & F.col("dense") & (F.col("pos") < F.col("p"))).select(
@@ -469,7 +481,7 @@ def join(
         .agg(
             F.min("row__").alias("node"),
             F.min("id__").alias("least"),
-            F.min("text_hash").alias("text_hash"),
+            F.min(F.struct("text_hash", "id__")).alias("text"),
         ),
         "jaccard-kinds",
     )
@@ -494,17 +506,17 @@ def join(
     clusters = components(edges).withColumnRenamed("label", "cluster")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
     wanted = scratch.durable(
-        clusters.join(sizes, "cluster").join(kinds.select("node", "text_hash"), "node"),
+        clusters.join(sizes, "cluster").join(kinds.select("node", "text"), "node"),
         "jaccard-clusters",
     )
-    keys = wanted.select("text_hash").distinct()
-    texts = source.select("text_hash", "text__").join(_small(keys), "text_hash", "left_semi")
-    sets = texts.dropDuplicates(["text_hash"]).mapInArrow(
-        _whole_sets(rule), "text_hash long, members binary"
+    # the text of one row for each set; rows that repeat id and text are told apart later
+    texts = source.select(F.struct("text_hash", "id__").alias("text"), "text__").join(
+        _small(wanted), "text"
     )
-    labels = _links(
-        wanted.join(sets, "text_hash").select("node", "cluster", "size", "members"), rule.percent
+    sets = texts.select("node", "cluster", "size", "text__").mapInArrow(
+        _whole_sets(rule), "node long, cluster long, size long, members binary"
     )
+    labels = _links(sets, rule.percent)
     named = kinds.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("least").alias("component_id"))
     by_print = named.join(smallest, "label").select("print", "component_id")
