@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -257,6 +258,22 @@ def test_bloom_counts_never_fall_short():
     assert (found[counts >= 256] >= 256).all() and (found[counts < 8] == 0).mean() > 0.5
 
 
+def test_every_ngram_of_the_corpus_is_stored(spark):
+    def term(word, after):
+        alone = (word + 0.5) / scale
+        return math.log10((1 + lm.PRIOR * alone) / (after + lm.PRIOR))
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(200)) for i in range(400)]  # no word comes twice
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learned = [r for r in lm.score(df).collect() if not r["held_out"]]
+    total = 201 * len(learned)
+    scale = total + 0.5 * (200 * len(learned) + 2)
+    ends = 1.5 * 2 ** (len(learned).bit_length() - 1)
+    want = term(1, ends) + 199 * term(1, 1) + term(ends, 1)
+    # a false answer can raise a count: few texts have many
+    assert sorted(r["score"] for r in learned)[len(learned) // 2] == pytest.approx(want, rel=0.01)
+
+
 def test_pair_counts_help_on_held_out_texts(spark):
     rng = random.Random(3)
     following = {i: rng.choices(range(50), k=3) for i in range(50)}
