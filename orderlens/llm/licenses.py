@@ -1,8 +1,8 @@
 """License scans by ordered signature rules.
 
 A text becomes its lower-case words with one space between and around them. Signatures are
-regular expressions over that form, each gated by a keyword: only where the keyword occurs
-is the expression run at all. A detection inside another's interval is suppressed if the
+regular expressions over that form, each gated by keywords: only where one of them occurs is
+the expression run at all, so each of its alternatives must contain one. A detection inside another's interval is suppressed if the
 other has at least its priority (and more words, or a higher priority, or an earlier place
 in the rule order). Pinned signatures are reported wherever they match and are never
 suppressed.
@@ -24,7 +24,10 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Signature:
-    """``pattern`` matches words of the normal form, without the spaces around them."""
+    """``pattern`` matches words of the normal form, without the spaces around them.
+
+    ``keyword``: keywords with ``|`` between; any of them opens the gate.
+    """
 
     label: str
     keyword: str
@@ -32,6 +35,10 @@ class Signature:
     priority: int
     pinned: bool = False
 
+    @property
+    def keywords(self) -> tuple[str, ...]:
+        return tuple(self.keyword.split("|"))
+
 
 #: Phrases that are always reported, with their labels.
 BASE: tuple[tuple[str, str], ...] = (
@@ -40,18 +47,18 @@ BASE: tuple[tuple[str, str], ...] = (
     ("all rights reserved", "reserved"),
 )
 
-#: Licence families: label, gating keyword, pattern of the name, pattern of a version.
+#: Licence families: label, gating keywords, pattern of the name, pattern of a version.
 _V = r"(?: version| v)?"
 _FAMILIES: tuple[tuple[str, str, str, str], ...] = (
     ("apache", "apache", r"apache(?: software)? license", rf"{_V} [12](?: [01])?"),
-    ("mit", "mit", r"(?:mit|expat|x11) license", ""),
+    ("mit", "mit|expat|x11", r"(?:mit|expat|x11) license", ""),
     ("bsd", "bsd", r"(?:[0-9] clause )?bsd(?: [0-9] clause)? license", ""),
     ("isc", "isc", r"isc license", ""),
     ("zlib", "zlib", r"zlib(?: libpng)? license", ""),
     ("boost", "boost", r"boost software license", rf"{_V} 1(?: 0)?"),
     ("artistic", "artistic", r"artistic license", rf"{_V} [12](?: 0)?"),
     ("gpl-family", "gnu", r"gnu (?:general public license|gpl)", rf"{_V} [123](?: [01])?"),
-    ("lgpl", "lesser", r"(?:gnu )?(?:lesser|library) general public license", rf"{_V} [23](?: [01])?"),
+    ("lgpl", "lesser|library", r"(?:gnu )?(?:lesser|library) general public license", rf"{_V} [23](?: [01])?"),
     ("agpl", "affero", r"(?:gnu )?affero general public license", rf"{_V} [13](?: 0)?"),
     ("fdl", "documentation", r"(?:gnu )?free documentation license", rf"{_V} 1(?: [0-3])?"),
     ("mpl", "mozilla", r"mozilla public license", rf"{_V} [12](?: [01])?"),
@@ -122,7 +129,7 @@ def build_signatures() -> tuple[Signature, ...]:
         )
     for label, keyword, name, version in names:
         for frame, weight in _FRAMES:
-            full = f"{name}{version}" if "?" in version or not version else f"{name}(?:{version})?"
+            full = f"{name}(?:{version})?" if version else name
             rules.append(Signature(label, keyword, frame.format(f"(?:{full})"), weight))
         spdx = label.replace("-", " ")
         rules.append(
@@ -145,21 +152,21 @@ def normal_form(text: Column) -> Column:
 def _detections(normal: Column, rules: Sequence[Signature]) -> Column:
     """array<struct<start, end, order, label, priority, pinned>> in words, before suppression.
 
-    The rules stand in the plan once, as an array; those whose keyword occurs are kept and
+    The rules stand in the plan once, as an array; those with a keyword that occurs are kept and
     each is run over the text. A match is wrapped by its spaces, which neighbours share, so
     the closing one is only looked at.
     """
     table = F.array(
         *[
             F.struct(
-                F.lit(f" {r.keyword} ").alias("keyword"),
+                F.array(*[F.lit(f" {k} ") for k in r.keywords]).alias("keywords"),
                 F.lit(f" {r.pattern}(?= )").alias("pattern"),
-                F.lit(k).alias("order"),
+                F.lit(n).alias("order"),
                 F.lit(r.label).alias("label"),
                 F.lit(r.priority).alias("priority"),
                 F.lit(r.pinned).alias("pinned"),
             )
-            for k, r in enumerate(rules)
+            for n, r in enumerate(rules)
         ]
     )
     spaces = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
@@ -202,14 +209,16 @@ def _detections(normal: Column, rules: Sequence[Signature]) -> Column:
             lambda s: s["found"],
         )
 
-    gated = F.filter(table, lambda r: F.contains(normal, r["keyword"]))
+    gated = F.filter(
+        table, lambda r: F.exists(r["keywords"], lambda keyword: F.contains(normal, keyword))
+    )
     return F.flatten(F.transform(gated, of))
 
 
 def _gate(normal: Column, rules: Sequence[Signature]) -> Column:
     """Whether any signature's keyword occurs."""
     any_keyword = F.lit(False)
-    for keyword in dict.fromkeys(r.keyword for r in rules):
+    for keyword in dict.fromkeys(k for r in rules for k in r.keywords):
         any_keyword = any_keyword | F.contains(normal, F.lit(f" {keyword} "))
     return any_keyword
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -193,6 +194,44 @@ def test_license_suppression(spark):
             assert d["suppressed"] or d["pinned"] or not inside
 
 
+def alternatives(parsed):
+    """Texts that match a parsed pattern, with each of its alternatives in one at least."""
+    out = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            parts = [chr(value)]
+        elif name == "IN":
+            first = value[0][1]
+            parts = ["a" if str(value[0][0]) == "CATEGORY" else chr(first if isinstance(first, int) else first[0])]
+        elif name == "SUBPATTERN":
+            parts = alternatives(value[3])
+        elif name == "BRANCH":
+            parts = [t for b in value[1] for t in alternatives(b)]
+        else:
+            assert name == "MAX_REPEAT"
+            parts = [t * n for n in sorted({value[0], max(value[0], 1)}) for t in alternatives(value[2])]
+        n = max(len(out), len(parts))
+        out = [out[k % len(out)] + parts[k % len(parts)] for k in range(n)]
+    return out
+
+
+def test_each_alternative_of_a_license_opens_its_gate(spark):
+    for rule in licenses.SIGNATURES:
+        for text in alternatives(re._parser.parse(rule.pattern)):
+            assert re.fullmatch(rule.pattern, text)
+            assert any(f" {k} " in f" {text} " for k in rule.keyword.split("|")), (rule, text)
+    texts = [
+        "Released under the Expat License.", "X11 License", "MIT License",
+        "GNU Library General Public License", "GNU Lesser General Public License", "a library",
+    ]
+    found = {
+        r["doc_id"]: {d["label"] for d in r["detections"]}
+        for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    }
+    assert [found[k] for k in range(6)] == [{"mit"}] * 3 + [{"lgpl", "gpl"}] * 2 + [set()]
+
+
 def edges_of(text, rng):
     """A near copy with some words changed."""
     w = text.split()
