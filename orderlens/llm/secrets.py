@@ -4,9 +4,10 @@ Fixed formats are assignments to secret-like names, access-key ids and long hex
 Beyond them, candidate strings that mix letters and digits are scanned by Shannon
 entropy: a window slides over the candidate, the counts of its characters change by one
 character leaving and one entering, and the largest entropy of a window, against the
-threshold of the candidate's character class, decides. Strings on the allow-list
-(placeholders, UUIDs, versions, addresses) and strings that touch a fixed finding are not
-reported; fixed findings always stay.
+threshold of the candidate's character class, decides. Strings on the allow-list (UUIDs,
+dates, paths of words) are not reported, and windows with a placeholder do not count, while
+the rest of such a candidate does. Fixed findings always stay; of a candidate that they
+touch, what they leave is judged.
 """
 
 from __future__ import annotations
@@ -60,13 +61,21 @@ CLASSES: tuple[CharacterClass, ...] = (
 #: Whole strings that look random but are no secrets.
 ALLOWED: tuple[str, ...] = (
     r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",  # UUID
-    r"(?i).*(?:example|sample|dummy|placeholder|changeme|redacted|test).*",
-    r"(?i).*(.)\1{7,}.*",  # one character eight times
-    r"(?i).*(?:0123456789|1234567890|abcdefghij|qwertyuiop).*",
     r"(?:[0-9]+[-_/])+[0-9]+",  # dates, numbers with separators
     r"(?:[A-Za-z]*[-_/])+[A-Za-z]+[0-9]{0,4}",  # paths and names of words
 )
 
+#: Placeholders within a candidate, and what stays of them: pieces that a line break parts, of
+#: which none holds the placeholder whole.
+PLACEHOLDERS: tuple[tuple[str, str], ...] = (
+    (  # words between separators
+        r"(?i)(?<![A-Za-z0-9])(?:example|sample|dummy|placeholder|changeme|redacted|test)[A-Za-z0-9]*",
+        "\n",
+    ),
+    (r"(?i)(.)(\1{6})\1*(\1)", "$1$2\n$2$3"),  # one character eight times
+    (r"(?i)0123456789|1234567890|abcdefghij|qwertyuiop", "\n"),
+)
+
 
 def _term(count: Column) -> Column:
     """c * log2(c), 0 for 0."""
@@ -148,7 +157,9 @@ def find_secrets(
 
     ``fixed`` has the fixed formats by start, then kind as listed; ``random`` the strings
     found by entropy, by start. ``found`` of an assignment is the whole assignment. Null
-    text is empty text and has none. Each row is scanned by itself, so repeated rows stay.
+    text is empty text and has none. What fixed findings leave of a candidate is a finding of
+    its own; if it is shorter than a window, it is one where it mixes letters and digits and
+    joins an access key or hex string without a separator. Each row is scanned by itself, so repeated rows stay.
     Columns not named in ``keep`` are not read; ``keep`` must not name ``fixed`` or ``random``.
     An empty table gives an empty result. No text is too long: the work follows its length.
     """
@@ -191,23 +202,62 @@ def find_secrets(
         F.filter(of_kind(spans(text, F.lit(CANDIDATE)), "random"), lambda s: _mixes(s["found"])),
     ).otherwise(none)
 
-    def loose(fixed):
-        touched = lambda s: F.exists(
-            fixed, lambda f: (f["start"] < s["end"]) & (f["end"] > s["start"])
+    def uncovered(s, fixed):
+        """What ``fixed``, by start, leaves of a candidate."""
+        touching = F.filter(fixed, lambda f: (f["start"] < s["end"]) & (f["end"] > s["start"]))
+        assigns = F.exists(touching, lambda f: f["kind"] == "assign")
+        place = "struct<start:int,end:int>"
+        state = F.struct(s["start"].alias("at"), F.array().cast(f"array<{place}>").alias("out"))
+
+        def gap(at, start):
+            one = F.struct(at.cast("int").alias("start"), start.cast("int").alias("end"))
+            return F.when(start > at, F.array(one)).otherwise(F.array().cast(f"array<{place}>"))
+
+        gaps = F.aggregate(
+            touching,
+            state,
+            lambda t, f: F.struct(
+                F.greatest(t["at"], f["end"]).alias("at"),
+                F.concat(t["out"], gap(t["at"], f["start"])).alias("out"),
+            ),
+            lambda t: F.concat(t["out"], gap(t["at"], s["end"])),
         )
-        return F.filter("candidates__", lambda s: ~touched(s))
+
+        def piece(g):
+            size = g["end"] - g["start"]
+            found = F.substring(s["found"], g["start"] - s["start"] + 1, size)
+            return F.struct(
+                g["start"].alias("start"),
+                s["order"].alias("order"),
+                s["kind"].alias("kind"),
+                g["end"].alias("end"),
+                found.alias("found"),
+            )
+
+        def may_be(r):
+            joins = ~assigns & r["found"].rlike("^[A-Za-z0-9]+$")
+            return _mixes(r["found"]) & ((F.length(r["found"]) >= WINDOW) | joins)
+
+        return F.filter(F.transform(gaps, piece), may_be)
+
+    def loose(fixed):
+        return F.flatten(F.transform("candidates__", lambda s: uncovered(s, fixed)))
 
     def random(s):
+        pieces = s["found"]
+        for pattern, stays in PLACEHOLDERS:
+            pieces = F.regexp_replace(pieces, pattern, stays)
+        pieces = F.filter(F.split(pieces, "\n"), lambda p: F.length(p) >= WINDOW)
         verdict = F.lit(False)
         for c in reversed(classes):
             verdict = F.when(
                 s["found"].rlike(f"^{c.pattern}$"),
-                F.coalesce(max_entropy(s["found"], c.alphabet) >= c.bits, F.lit(False)),
+                F.exists(pieces, lambda p: max_entropy(p, c.alphabet) >= c.bits),  # noqa: B023
             ).otherwise(verdict)
         suppressed = F.lit(False)
         for pattern in allowed:
             suppressed = suppressed | s["found"].rlike(f"^(?:{pattern})$")
-        return ~suppressed & verdict
+        return (F.length(s["found"]) < WINDOW) | (~suppressed & verdict)
 
     return (
         df.select(*kept, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text__"))

@@ -138,6 +138,30 @@ def test_secrets(spark):
     assert secrets.find_secrets(empty(spark)).count() == 0
 
 
+def test_placeholders_do_not_hide_secrets(spark):
+    key, hexes = "Zx81Kq0pLm7RtY3vBn5WcE9s", "0f1e2d3c4b5a69788796a5b4"
+    texts = {
+        f"see latest/{key} here": [f"latest/{key}"],
+        f"contest-{key}": [f"contest-{key}"],
+        f"attestation_{key}": [f"attestation_{key}"],
+        f"test/{key}": [f"test/{key}"],
+        f"x {key}AAAAAAAA{key[:9]}": [f"{key}AAAAAAAA{key[:9]}"],
+        f"{key}0123456789": [f"{key}0123456789"],
+        "test12Kq0pLm7RtY3vBn5WcE9s example_Zx81Kq0pLm7RtY3v": [],
+        "0123456789qwertyuiop 0123456789abcdefghij 11111111ABCDEF234567": [],
+        f"{key}G{hexes}H{key}": [f"{key}G", f"H{key}"],
+        f"Zx81KqG{hexes}Hx90mW": ["Zx81KqG", "Hx90mW"],
+        f"abc G{hexes}H_ build/{hexes}": [],
+        "settings_of_v2_password = abcdefgh": [],
+        f"{key}_token=abcdefgh": [f"{key}_"],
+    }
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in secrets.find_secrets(df, keep=["doc_id", "text"]).collect()}
+    for k, (text, want) in enumerate(texts.items()):
+        assert [s["found"] for s in got[k]["random"]] == want, text
+        assert all(text[s["start"] : s["end"]] == s["found"] for s in got[k]["random"])
+
+
 def test_window_entropy(spark):
     rng = random.Random(1)
     alphabet = secrets.CLASSES[-1].alphabet
