@@ -427,6 +427,18 @@ def test_unmarked_pages_lose_what_their_host_repeats(spark):
     assert got == {i: f"{i} is the text of page" for i in range(6)}
 
 
+def test_copies_of_an_unmarked_page_keep_their_text(spark):
+    menu = "Home About Contact Imprint Privacy Terms Jobs Press Help"
+    text = "ten words of text that only this one page has"
+    rows = [(i, f"https://h.org/{i}", f"<div id=x{i}>{menu}</div><div>{text}</div>") for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["text"] for r in pages.extract(df).collect()} == {f"{menu}\n{text}"}
+    others = [(9 + i, f"https://h.org/{i}", f"<div>{menu}</div><div>other {i}</div>") for i in range(2)]
+    more = spark.createDataFrame(rows + others, df.schema)
+    got = {r["page_id"]: r["text"] for r in pages.extract(more).collect()}
+    assert got == {**{i: text for i in range(5)}, 9: "other 0", 10: "other 1"}
+
+
 def test_repeated_runs_against_all_substrings():
     rng = random.Random(2)
     texts = [[rng.choice("abc") for _ in range(rng.randint(0, 60))] for _ in range(12)]
