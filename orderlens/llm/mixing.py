@@ -1,32 +1,39 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 The rows of a source form blocks of ``block_rows``; one slot of the mixture takes one block.
-Weights are whole numbers of slots in a cycle: a source of weight q has q blocks in every
-cycle. Within a cycle of M slots its block j is released at slot floor(j * M / q) and due by
-slot ceil((j + 1) * M / q), and every slot takes the released block that is due earliest. All
-meet their deadlines, so at every slot each source is less than one block away from its
-share.
+Slots come in cycles. How many blocks of each source the slots before a cycle hold follows
+from its number alone: the sources are the leaves of a tree, and at every node the slots so
+far are split between two sides by their exact weights, rounded down on one. Sides hold at
+most two thirds of their node unless they are single sources, so a source is less than four
+blocks away from its share at each border, however many cycles came before. Within a cycle
+of M slots block j of a source's m is released at slot floor(j * M / m) and due by slot
+ceil((j + 1) * M / m), and every slot takes the released block that is due earliest. All meet
+their deadlines.
 
 A source that runs out leaves its slots to the others, whose weights keep their
-proportions. So cycles differ only where a source has its last blocks, at most two times
-per source: the schedule of each distinct cycle is made once, and a block finds its slot
-by its number. No row is dropped or repeated.
+proportions; once half of the weight has run out, the tree is made again for the rest, so
+the cycles are never many more than the blocks need. Cycles are counted and scheduled in
+tasks, each by itself. No row is dropped or repeated.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.sources import scratch
 
-#: Slots of a cycle, about; a weight is rounded to a whole number of them, at least one.
+#: Slots of a cycle, of which sources that ran out leave some.
 CYCLE = 1000
 BLOCK_ROWS = 64
-#: Scheduled slots up to which the schedules are broadcast; beyond, they are joined.
-BROADCAST_SLOTS = 4_000_000
+#: Scheduled slots up to which the schedule is broadcast; beyond, it is joined.
+BROADCAST_SLOTS = 500_000
+#: A source that needs more slots than this is left to the next epochs.
+MOST_SLOTS = 1 << 50
 #: Rows that are numbered in one group, on average.
 GROUP_ROWS = 4096
 
@@ -51,62 +58,117 @@ def source_weights(
     return sizes.withColumn("weight", weight.cast("double"))
 
 
-def cycle_schedules(weights: DataFrame, cycle: int, block_rows: int) -> DataFrame:
-    """One row per source and distinct cycle: what a block needs to find its slot.
+def tree_paths(weights: Sequence[float]) -> list[list[tuple[bool, float]]]:
+    """For each weight, its way from the root: which side, and the first side's share."""
+    order = sorted(range(len(weights)), key=lambda i: -weights[i])
+    upto = [0.0, *accumulate(weights[i] for i in order)]
+    paths: list[list[tuple[bool, float]]] = [[] for _ in weights]
+    nodes = [(0, len(order))]
+    while nodes:
+        start, end = nodes.pop()
+        if end - start < 2:
+            continue
+        half = (upto[start] + upto[end]) / 2
+        cut = min(max(bisect_left(upto, half, start, end), start + 1), end - 1)
+        if cut - 1 > start and half - upto[cut - 1] <= upto[cut] - half:
+            cut -= 1
+        share = (upto[cut] - upto[start]) / (upto[end] - upto[start])
+        for k in range(start, end):
+            paths[order[k]].append((k < cut, share))
+        nodes += [(start, cut), (cut, end)]
+    return paths
 
-    key; q: its blocks in a full cycle; blocks: all it has; first_cycle: where the cycle
-    pattern begins; base, per_cycle: slots before the pattern, and of one of its cycles;
-    places: the slots of the source's blocks within such a cycle.
+
+def blocks_before(path: Sequence[tuple[bool, float]], slots: int) -> int:
+    """Blocks of a source in the first ``slots`` slots, while all sources last."""
+    for first, share in path:
+        part = int(slots * share)
+        slots = part if first else slots - part
+    return slots
+
+
+def _blocks_before(path: Column, slots: Column) -> Column:
+    """The same of a column."""
+
+    def step(n, side):
+        part = F.floor(n * side["share"]).cast("long")
+        return F.when(side["first"], part).otherwise(n - part)
+
+    return F.aggregate(path, slots.cast("long"), step)
+
+
+def epochs(sources: Sequence[tuple[str, int, float]], cycle: int) -> list[tuple]:
+    """(slots before an epoch, its cycles, key, path, blocks before it, blocks left) by source.
+
+    ``sources``: key, blocks and weight. An epoch ends with the cycle in which half of its
+    weight has run out.
     """
-    share = F.col("weight") / F.sum("weight").over(Window.partitionBy())
-    parts = weights.select(
-        "key",
-        F.ceil(F.col("rows") / block_rows).cast("long").alias("b"),
-        F.greatest(F.lit(1), F.round(share * cycle)).cast("long").alias("q"),
+    left = {key: blocks for key, blocks, _ in sources if blocks}
+    total = dict(left)
+    weight = {key: w for key, _, w in sources}
+    out, base = [], 0
+    while left:
+        keys = sorted(left, key=lambda k: (-weight[k], -total[k], k))
+        paths = tree_paths([weight[k] for k in keys])
+        ends = []
+        for key, path in zip(keys, paths, strict=True):
+            high = 1
+            while blocks_before(path, high * cycle) < left[key] and high * cycle < MOST_SLOTS:
+                high *= 2
+            ends.append(1 + bisect_left(range(1, high), left[key], key=lambda c: blocks_before(path, c * cycle)))
+        gone, half = 0.0, sum(weight[k] for k in keys) / 2
+        for n, k in sorted(zip(ends, keys, strict=True)):
+            cycles = n
+            gone += weight[k]
+            if gone >= half:
+                break
+        used = 0
+        for key, path in zip(keys, paths, strict=True):
+            out.append((base, cycles, key, path, total[key] - left[key], left[key]))
+            taken = min(left[key], blocks_before(path, cycles * cycle))
+            left[key] -= taken
+            used += taken
+        base += used
+        left = {k: n for k, n in left.items() if n}
+    return out
+
+
+def schedule(weights: DataFrame, cycle: int, block_rows: int) -> DataFrame:
+    """``key``, ``block`` and ``slot`` of every block of a table of ``key``, ``rows``, ``weight``."""
+    parts = weights.select("key", F.ceil(F.col("rows") / block_rows).cast("long"), "weight")
+    made = epochs([tuple(r) for r in parts.collect()], cycle)  # one row per source
+    if not made:
+        return weights.sparkSession.createDataFrame([], "key string, block long, slot long")
+    table = weights.sparkSession.createDataFrame(
+        made,
+        "base long, cycles long, key string,"
+        " path array<struct<first:boolean,share:double>>, before long, left long",
     )
-    q_all = F.collect_list(F.struct("key", "b", "q"))
-    together = parts.groupBy().agg(F.sort_array(q_all).alias("s")).where(F.size("s") > 0)
-    ends = F.concat(
-        F.array(F.lit(0).cast("long")),
-        F.transform("s", lambda x: F.floor(x["b"] / x["q"])),
-        F.transform("s", lambda x: F.ceil(x["b"] / x["q"])),
+    upto = lambda c: F.least("left", _blocks_before(F.col("path"), c * cycle))
+    counted = (
+        table.withColumn("cycle", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cycles") - 1)))
+        .withColumn("start", upto(F.col("cycle")))
+        .withColumn("m", upto(F.col("cycle") + 1) - F.col("start"))
     )
-    patterns = (
-        together.withColumn("first_cycle", F.explode(F.array_distinct(ends)))
-        .withColumn(
-            "m",
-            F.transform(
-                "s",
-                lambda x: F.greatest(
-                    F.lit(0), F.least(x["q"], x["b"] - F.col("first_cycle") * x["q"])
-                ).cast("long"),
-            ),
-        )
-        .withColumn("per_cycle", F.aggregate("m", F.lit(0).cast("long"), lambda a, x: a + x))
-        .where(F.col("per_cycle") > 0)
-        .withColumn(
-            "base",
-            F.aggregate(
-                "s",
-                F.lit(0).cast("long"),
-                lambda a, x: a + F.least(x["b"], F.col("first_cycle") * x["q"]),
-            ),
+    has = F.when(F.col("m") > 0, F.struct("key", "m", (F.col("before") + F.col("start")).alias("from")))
+    cycles = (
+        counted.groupBy("base", "cycle")
+        .agg(
+            (F.col("base") + F.sum("start")).alias("begin"),
+            F.sum("m").alias("slots"),
+            F.sort_array(F.collect_list(has)).alias("s"),
         )
-        .withColumn("order", earliest_deadline_first(F.col("m"), F.col("per_cycle")))
+        .where("slots > 0")
+        .withColumn("order", earliest_deadline_first(F.transform("s", lambda x: x["m"]), F.col("slots")))
     )
-    return patterns.select(
-        "first_cycle", "base", "per_cycle", "order", F.posexplode("s").alias("at", "x")
-    ).select(
+    placed = cycles.select("begin", "s", F.posexplode("order").alias("place", "who")).withColumn(
+        "x", F.get("s", F.col("who"))
+    )
+    turn = Window.partitionBy("begin", "who").orderBy("place")
+    return placed.select(
         F.col("x.key").alias("key"),
-        F.col("x.b").alias("blocks"),
-        F.col("x.q").alias("q"),
-        "first_cycle",
-        "base",
-        "per_cycle",
-        F.filter(
-            F.transform("order", lambda who, t: F.when(who == F.col("at"), t)),
-            lambda t: t.isNotNull(),
-        ).alias("places"),
+        (F.col("x.from") + F.row_number().over(turn) - 1).cast("long").alias("block"),
+        (F.col("begin") + F.col("place")).cast("long").alias("slot"),
     )
 
 
@@ -193,13 +255,12 @@ def mix(
         "source", F.when(F.col("key") != "n", F.substring("key", 2, 1 << 30))
     )
     weights = source_weights(named, targets, rest, temperature)
-    schedules = scratch.durable(cycle_schedules(weights, cycle, block_rows), "mix-schedules")
-    slots = schedules.agg(F.sum(F.size("places"))).first()[0] or 0
-    patterns = schedules.groupBy(F.col("key").alias("key__")).agg(
-        F.first("q").alias("q__"),
-        F.sort_array(
-            F.collect_list(F.struct("first_cycle", "base", "per_cycle", "places"))
-        ).alias("patterns__"),
+    scheduled = scratch.durable(schedule(weights, cycle, block_rows), "mix-schedule")
+    slots = scheduled.count()
+    places = scheduled.select(
+        F.col("key").alias("key__"),
+        F.col("block").alias("mix_block"),
+        F.col("slot").alias("mix_slot"),
     )
     within = Window.partitionBy("key__", "group__").orderBy("hash__", *ordered)
     numbered = (
@@ -208,22 +269,12 @@ def mix(
         .join(offsets, ["key__", "group__"])
         .withColumn("rank__", F.col("rank__") + F.col("offset__"))
         .withColumn("mix_block", F.floor(F.col("rank__") / block_rows).cast("long"))
-        .join(F.broadcast(patterns) if slots <= BROADCAST_SLOTS else patterns, "key__")
-    )
-    turn = F.floor(F.col("mix_block") / F.col("q__"))
-    pattern = F.element_at(
-        F.filter("patterns__", lambda p: p["first_cycle"] <= F.col("turn__")), -1
-    )
-    pat = F.col("pattern__")
-    slot = (
-        pat["base"]
-        + (F.col("turn__") - pat["first_cycle"]) * pat["per_cycle"]
-        + F.get(pat["places"], (F.col("mix_block") % F.col("q__")).cast("int"))
+        .join(
+            F.broadcast(places) if slots <= BROADCAST_SLOTS else places, ["key__", "mix_block"]
+        )
     )
     return (
-        numbered.withColumn("turn__", turn)
-        .withColumn("pattern__", pattern)
-        .withColumn("mix_slot", slot.cast("long"))
+        numbered
         .withColumn(
             "mix_position",
             F.col("mix_slot") * block_rows + (F.col("rank__") % block_rows),

@@ -513,6 +513,25 @@ def test_mix(spark):
             assert all(abs(done[s] - m * t / sum(first.values())) < 1 for s, m in first.items())
 
 
+@pytest.mark.parametrize("many", [False, True])
+def test_mix_follows_the_targets_themselves(spark, many):
+    if many:  # sources with less than a block in a cycle beside a heavy one
+        targets = {"h": 0.3, **{f"s{i}": 0.7 / 200 for i in range(200)}}
+    else:
+        targets = {"a": 0.9834, "b": 0.015, "c": 0.0016}
+    total = 6000 if not many else 1500
+    rows = [(s,) for s, w in targets.items() for _ in range(round(total * w) + 5)]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, source string")
+    got = mixing.mix(df, targets=targets, block_rows=1, cycle=100).collect()
+    assert sorted(r["mix_slot"] for r in got) == list(range(len(rows)))
+    done = Counter()
+    share = {s: w / sum(targets.values()) for s, w in targets.items()}
+    for r in sorted(got, key=lambda r: r["mix_slot"])[:total]:
+        done[r["source"]] += 1
+        t = r["mix_slot"] + 1
+        assert all(abs(done[s] - w * t) < 5 for s, w in share.items())
+
+
 def test_digest_of_ids(spark):
     df = spark.createDataFrame([(bytearray(b"\x02\x00\x00\x00"),)], "ids binary")
     assert df.select(F.crc32("ids")).first()[0] == zlib.crc32(b"\x02\x00\x00\x00")
