@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import jaccard, licenses, lm, mixing, packing, pages, pii, quality, secrets, topk
+from orderlens.llm import (
+    jaccard,
+    licenses,
+    lm,
+    merkle,
+    mixing,
+    packing,
+    pages,
+    pii,
+    quality,
+    secrets,
+    topk,
+)
 from orderlens.llm.text import join_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,3 +230,89 @@ def op10_ball_tree_top_k(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").where(topk.valid(F.col("embedding")))
     rows = rows.select("vec_id", whole.alias("vector"))
     return topk.top_k(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+# --- 11: Merkle dataset manifest
+
+_LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _merkle_sql(levels: int = 14, group_levels: int = 6) -> str:
+    """Levels are written out one by one; so many hold 3 ** levels rows a source and sources."""
+
+    def framed(column: str) -> str:
+        text = f"cast({column} AS varchar)"
+        return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(framed(c) for c in [*_LEAF_COLUMNS[:4], text]) + ")"
+
+    def trees(n: str, s: str, x: str, top: int) -> list[str]:
+        parts = []
+        for k in range(top):
+            parts += [
+                f"{n}{k + 1} AS MATERIALIZED (SELECT g, p // 3 AS p, sha256(string_agg(h, '' ORDER BY p)) "
+                f"AS h, (w + 2) // 3 AS w FROM {n}{k} WHERE w > 1 GROUP BY g, p // 3, w)",
+                f"{s}{k} AS (SELECT g, p, coalesce(string_agg(h, '') OVER (PARTITION BY g, p // 3 "
+                "ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b, "
+                "coalesce(string_agg(h, '') OVER (PARTITION BY g, p // 3 ORDER BY p ROWS BETWEEN "
+                f"1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a FROM {n}{k} WHERE w > 1)",
+                f"{x}{k + 1} AS (SELECT r, g, p // 3 AS p, CASE WHEN b IS NULL THEN f ELSE "
+                f"sha256(b || f || a) END AS f, proof || coalesce(b || a, '') AS proof "
+                f"FROM {x}{k} LEFT JOIN {s}{k} USING (g, p))",
+            ]
+        return parts
+
+    def ends(n: str, top: int) -> str:
+        return " UNION ALL ".join(f"SELECT g, h FROM {n}{k} WHERE w = 1" for k in range(top + 1))
+
+    joined = "replace(text, chr(10), '')"
+    crc = (
+        "xor(list_reduce(list_transform(string_split(cast(doc_id AS varchar), ''), "
+        "lambda c: cast(ascii(c) AS bigint)), lambda x, y: list_reduce(range(8), lambda v, i: "
+        "CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(x, y)), "
+        "4294967295), 4294967295)"
+    )
+    return ", ".join(
+        [
+            "WITH t AS MATERIALIZED (SELECT row_number() OVER () AS r, source, doc_id, "
+            f"{leaf('text')} AS leaf, CASE WHEN {crc} % 2 = 0 THEN "
+            f"{leaf(joined)} ELSE {leaf('text')} END AS told "
+            "FROM documents)",
+            "l AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g, "
+            "row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, "
+            "count(*) OVER (PARTITION BY source) AS w FROM t)",
+            "n0 AS (SELECT g, p, leaf AS h, w FROM l)",
+            "x0 AS (SELECT r, g, p, told AS f, '' AS proof FROM l)",
+            *trees("n", "s", "x", levels),
+            f"sub AS MATERIALIZED ({ends('n', levels)})",
+            "m0 AS (SELECT 0 AS g, g AS p, h, count(*) OVER () AS w FROM sub)",
+            f"y0 AS (SELECT r, 0 AS g, g AS p, f, proof FROM x{levels})",
+            *trees("m", "u", "y", group_levels),
+            f"top AS ({ends('m', group_levels)})",
+        ]
+    ) + (
+        " SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256(y.proof) AS proof_sha256, "
+        "y.f AS folded_root, y.f = top.h AS verified "
+        f"FROM l JOIN y{group_levels} y USING (r) JOIN sub ON sub.g = l.g CROSS JOIN top"
+    )
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11_merkle_manifest(spark, sf_dir):
+    """Rows whose id has an even checksum are told without their line breaks, and so found out."""
+    docs = table(spark, sf_dir, "documents")
+    first, text = [F.col(c) for c in _LEAF_COLUMNS[:4]], F.col("text")
+    even = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    told = F.when(even, merkle.leaf(*first, F.replace(text, F.lit("\n"), F.lit(""))))
+    rows = docs.select("doc_id", "source", merkle.leaf(*first, text).alias("leaf"), told.alias("told"))
+    made = merkle.manifest(rows, F.col("leaf"), group="source", order=["doc_id"])
+    folded = merkle.fold(F.coalesce("row.told", "leaf"), F.col("path"))
+    return made.leaves.select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        F.lit(made.root).cast("string").alias("root"),
+        merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
