@@ -11,6 +11,7 @@ from orderlens.llm import (
     jaccard,
     licenses,
     lm,
+    maxscore,
     merkle,
     mixing,
     packing,
@@ -316,3 +317,34 @@ def op11_merkle_manifest(spark, sf_dir):
         merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
         folded.alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+# --- 12: ranked lexical search
+
+_SEARCH_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+s AS (SELECT count(*) AS n_all, cast(sum(len(w)) AS hugeint) AS length FROM d WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+m AS (SELECT r, doc_id, cast(100 - 90 + (90 * cast(len(w) AS hugeint) * n_all) // length AS bigint)
+        AS m FROM d, s WHERE len(w) > 0),
+q AS (SELECT DISTINCT i, item_id, unnest(w) AS term FROM i),
+f AS (SELECT i, item_id, r, doc_id,
+    cast(sum(cast(floor(1000 * ln((2.0::double * n_all + 2) / (2 * df + 1))) AS bigint)
+      * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS bigint) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN m USING (r), s GROUP BY ALL)
+SELECT item_id, cast(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS int) AS rank,
+  doc_id, score FROM f WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query("op12_pair_maxscore", _SEARCH_SQL)
+def op12_pair_maxscore(spark, sf_dir):
+    return maxscore.search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10
+    )
