@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import (
     jaccard,
+    language,
     licenses,
     lm,
     maxscore,
@@ -348,3 +349,11 @@ def op12_pair_maxscore(spark, sf_dir):
     return maxscore.search(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10
     )
+
+
+# --- 13: language identification
+
+
+@query("op13_cross_parsing")
+def op13_cross_parsing(spark, sf_dir):
+    return language.predict(table(spark, sf_dir, "documents"))
