@@ -2,10 +2,10 @@
 
 A bounded sample of labelled text per language becomes a suffix automaton, which recognises
 every substring of the sample. A text is cut from left to right into the longest phrases that
-occur in the sample. Each phrase could be told by its place there, so the cost of a text is its
-number of phrases times the log2 of the sample's length, over the text's own length: bits a
-symbol, an estimate of the cross entropy. The language with the fewest wins, the first by name
-if several have as few.
+occur in the sample. A phrase could be told by its place there, in log2 of the sample's length
+bits; a symbol that the sample lacks is told as it is, in ``LITERAL_BITS``; and one bit says
+which. Phrases so weighed, over the text's length, estimate its cross entropy, whatever the
+samples' lengths. The language with the fewest bits wins, the first by name of equal ones.
 
 Symbols are bytes: letters in lower case, other ASCII as one space, everything else as
 its UTF-8 bytes. Whole texts are parsed, in windows of ``WINDOW`` symbols whose phrases end with
@@ -34,6 +34,7 @@ SAMPLE_SYMBOLS = 32_768
 #: All automata together; with many languages or letters, each gets a smaller sample.
 TABLE_BYTES = 256 << 20
 WINDOW = 512
+LITERAL_BITS = 8
 #: Symbols that are parsed together.
 CHUNK_SYMBOLS = 2_000_000
 UNDETERMINED = "und"
@@ -88,22 +89,24 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
 
 
 def parse_table(text: bytes, code: np.ndarray, width: int) -> np.ndarray:
-    """Per state and symbol: 4 times the next state, plus the phrases that the step adds.
+    """Per state and symbol: 4 times the next state, plus 1 if the step ends a phrase, plus 2 if
+    the symbol is missing in the sample.
 
-    Where a phrase cannot go on, the next one starts with the symbol; a symbol that the
-    sample lacks is a phrase of its own. ``code`` numbers the symbols, unknown ones 0.
+    Where a phrase cannot go on, the next one starts with the symbol. ``code`` numbers the
+    symbols, unknown ones 0.
     """
     edges = suffix_automaton(text)
     start = np.zeros(width, np.int32)
     for symbol, state in edges[0].items():
         start[code[symbol]] = state
     table = np.empty((len(edges), width), np.int32)
-    table[:] = 4 * start + 1 + (start == 0)
+    restart = 4 * start + 2 * (start == 0)
+    table[:] = restart + 1
     for state, out in enumerate(edges):
         places = code[np.fromiter(out.keys(), np.intp, len(out))]
         table[state, places] = 4 * np.fromiter(out.values(), np.int32, len(out))
     # at the start no phrase has to end
-    table[0] = 4 * start + (start == 0)
+    table[0] = restart
     return table
 
 
@@ -119,7 +122,7 @@ class Parser:
         # an automaton has at most two states a symbol
         room = TABLE_BYTES // (8 * self.width * max(1, len(samples)))
         tables = [parse_table(text[:room], self.code, self.width) for _, text in samples]
-        self.bits = np.array([math.log2(max(2, len(text[:room]))) for _, text in samples])
+        self.bits = np.array([1 + math.log2(max(2, len(text[:room]))) for _, text in samples])
         ends = np.cumsum([len(t) for t in tables])
         self.roots = np.r_[0, ends[:-1]].astype(np.int64)[: len(tables)]
         # states of all languages count on, so one gather serves them all
@@ -131,8 +134,8 @@ class Parser:
             else np.zeros(0, np.int32)
         )
 
-    def phrases(self, texts: list[bytes]) -> np.ndarray:
-        """Phrases of every text (rows) in every language (columns)."""
+    def phrases(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases and missing symbols of every text (rows) in every language (columns)."""
         sizes = np.array([len(t) for t in texts], np.int64)
         windows = -(-sizes // WINDOW)
         owner = np.repeat(np.arange(len(texts)), windows)
@@ -144,7 +147,7 @@ class Parser:
         flat = self.code[np.frombuffer(b"".join(texts), np.uint8)]
         roots = self.roots[:, None]
         states = np.repeat(roots, len(owner), axis=1)
-        counts = np.zeros(states.shape, np.int64)
+        ended, missing = np.zeros((2, *states.shape), np.int64)
         active = np.searchsorted(-lengths, -np.arange(WINDOW), side="left")
         for step, live in enumerate(active):
             if not live:
@@ -152,16 +155,19 @@ class Parser:
             taken = flat[begins[:live] + step]
             found = self.table[states[:, :live] * self.width + taken]
             states[:, :live] = found >> 2
-            counts[:, :live] += found & 3
-        counts += states != roots
-        total = np.zeros((len(texts), len(roots)), np.int64)
-        np.add.at(total, owner, counts.T)
-        return total
+            ended[:, :live] += found & 1
+            missing[:, :live] += (found >> 1) & 1
+        ended += states != roots
+        totals = np.zeros((2, len(texts), len(roots)), np.int64)
+        np.add.at(totals[0], owner, ended.T)
+        np.add.at(totals[1], owner, missing.T)
+        return totals[0], totals[1]
 
     def judge(self, texts: list[bytes]) -> list[tuple[str, float]]:
         """(language, score) of texts that have symbols; the score is the lead over the second."""
         sizes = np.array([len(t) for t in texts], float)
-        costs = self.phrases(texts) * self.bits / sizes[:, None]
+        phrases, missing = self.phrases(texts)
+        costs = (phrases * self.bits + missing * (1 + LITERAL_BITS)) / sizes[:, None]
         best = costs.argmin(axis=1)
         ranked = np.sort(costs, axis=1)
         lead = 1 - ranked[:, 0] / ranked[:, 1] if costs.shape[1] > 1 else np.ones(len(texts))
