@@ -13,6 +13,8 @@ from orderlens.sources import scratch
 
 # a value table is broadcast only when its measured size is below this
 BROADCAST_BYTES = 64 << 20
+# a table gets at most so many columns from its values
+MAX_COLUMNS = 10_000
 # per-row overhead assumed for a broadcast value besides its text
 _ROW_BYTES = 64
 
@@ -110,25 +112,42 @@ def _recode(df: DataFrame, column: str, kept: DataFrame, other: str) -> DataFram
     )
 
 
-def vocabularies(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct non-null values of each column, counted in one pass."""
-    values = category_frequency(df, columns).where(F.col("value").isNotNull())
+def vocabularies(
+    df: DataFrame, columns: Sequence[str], max_values: int = MAX_COLUMNS
+) -> dict[str, list[str]]:
+    """Sorted distinct non-null values of each column, counted in one pass.
+
+    Columns with more than ``max_values`` values together raise before any value is
+    brought to the driver.
+    """
+    values = scratch.durable(
+        category_frequency(df, columns).where(F.col("value").isNotNull()).select("column", "value"),
+        "vocabulary",
+    )
+    n = values.count()
+    if n > max_values:
+        raise ValueError(
+            f"{', '.join(columns)} have {n} values, more than {max_values}; "
+            "dictionary.one_hot gives vectors without a column for each"
+        )
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in values.select("column", "value").collect():
+    for row in values.collect():
         found[row["column"]].append(row["value"])
     return {c: sorted(v) for c, v in found.items()}
 
 
-def one_hot_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def one_hot_columns(
+    df: DataFrame, columns: Sequence[str], max_values: int = MAX_COLUMNS
+) -> DataFrame:
     """Replace each column by 0/1 columns named ``column_value``; null is 0 everywhere.
 
-    One column per value is what the caller asks for here, so it suits columns of few
-    values; ``forest.hasher`` gives a vector of stated width for any number. Take the union
-    of both splits as input, so that they share their columns.
+    One column per value is what the caller asks for here, and a table's columns are known to
+    the driver, so their number is bounded; ``dictionary.one_hot`` gives a vector of any width.
+    Take the union of both splits as input, so that they share their columns.
     """
     rest = [c for c in df.columns if c not in set(columns)]
     encoded: dict[str, Column] = {}
-    for column, values in vocabularies(df, columns).items():
+    for column, values in vocabularies(df, columns, max_values).items():
         for value in values:
             name = f"{column}_{value}"
             if name in encoded or name in rest:

@@ -70,6 +70,25 @@ def preparation_stages(
     return [*encoded, assembler(categorical, numeric)]
 
 
+def classifier(
+    trees: int,
+    depth: int,
+    weight: str | None = None,
+    seed: int = fields.SPLIT_SEED,
+    **options,
+) -> RandomForestClassifier:
+    """The forest of this project over a vector column ``features``."""
+    forest = RandomForestClassifier(
+        labelCol=fields.LABEL,
+        featuresCol="features",
+        numTrees=trees,
+        maxDepth=depth,
+        seed=seed,
+        **{"featureSubsetStrategy": "sqrt", **options},
+    )
+    return forest.setWeightCol(weight) if weight else forest
+
+
 def train_random_forest(
     train: DataFrame,
     trees: int = fields.FOREST_TREES,
@@ -83,22 +102,12 @@ def train_random_forest(
 
     ``train`` is scanned several times and should be a written layer. Categories are
     one-hot encoded, for which Spark's indexer holds their values on the driver; columns
-    of very many values take ``hash_features``, a vector of that width instead.
+    of very many values take ``hash_features``, a vector of that width instead, or
+    ``dictionary.assemble`` and ``classifier``, which keep values in a table.
     """
     categorical, numeric = feature_columns(train)
-    forest = RandomForestClassifier(
-        labelCol=fields.LABEL,
-        featuresCol="features",
-        numTrees=trees,
-        maxDepth=depth,
-        featureSubsetStrategy="sqrt",
-        seed=seed,
-        **options,
-    )
-    if weight:
-        forest.setWeightCol(weight)
     stages = preparation_stages(categorical, numeric, hash_features)
-    return Pipeline(stages=[*stages, forest]).fit(train)
+    return Pipeline(stages=[*stages, classifier(trees, depth, weight, seed, **options)]).fit(train)
 
 
 def class_weights(df: DataFrame, label: str = fields.LABEL) -> DataFrame:

@@ -174,3 +174,40 @@ def first_per_group(df: DataFrame, keys: list[str], order: list[Column]) -> Data
     """
     ranked = df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("rn") == 1).drop("rn")
+
+
+# a monotonically increasing id holds the number of its task above these bits
+_PART_BITS = 33
+
+
+def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """Adds ``position``: a row's place in its group from 0, in a total order of its rows.
+
+    No window holds a group, which may be most of the table: rows are range partitioned by
+    group and order and written in that order, so a row knows its place within its part, and
+    only the number of rows per part and group, a narrow table, is summed. Groups may be
+    null. Rows equal in the order keep the places they are written with.
+    """
+    groups = [F.col(g) for g in group]
+    written = scratch.durable(
+        df.repartitionByRange(*groups, *order)
+        .sortWithinPartitions(*groups, *order)
+        .withColumn("at__", F.monotonically_increasing_id()),
+        name,
+    )
+    part = F.shiftright("at__", _PART_BITS)
+    runs = written.groupBy(part.alias("part__"), *group).agg(
+        F.min("at__").alias("first__"), F.count("*").alias("n__")
+    )
+    earlier = F.sum("n__").over(Window.partitionBy(*group).orderBy("part__")) - F.col("n__")
+    runs = runs.select(
+        F.col("part__").alias("run_part__"),
+        *[F.col(g).alias(f"run_{g}__") for g in group],
+        (earlier - F.col("first__")).alias("shift__"),
+    )
+    same = part == F.col("run_part__")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"run_{g}__"))
+    return written.join(runs, same).select(
+        *df.columns, (F.col("at__") + F.col("shift__")).alias("position")
+    )

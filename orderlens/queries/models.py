@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens import fields
 from orderlens.functions import scoring as expressions
-from orderlens.operators import comparison, evaluation, forest, schema, splits
+from orderlens.operators import comparison, dictionary, evaluation, forest, schema, splits
 from orderlens.plans import scoring, training
 from orderlens.queries.registry import over_lines, query
 from orderlens.queries.tables import BUCKET_SQL, FEATURE_SQL, MIN_COUNT
@@ -31,7 +31,7 @@ def _ranked(column: str) -> str:
 @query("string_index", over_lines(" UNION ALL ".join(_ranked(c) for c in _INDEXED)))
 def string_index(spark, sf):
     lines = star.order_lines(spark, sf).select(_INDEXED)
-    indexed = forest.string_indexer(_INDEXED).fit(lines).transform(lines)
+    indexed = dictionary.encode(lines, dictionary.build(lines, _INDEXED))
     pairs = F.array(
         *[
             F.struct(
@@ -59,8 +59,8 @@ def one_hot_vector(spark, sf):
     """Indicator slot and vector width of each category; the last slot is for unseen ones."""
     column = "Product_Category"
     lines = star.order_lines(spark, sf).select(column)
-    indexed = forest.string_indexer([column]).fit(lines).transform(lines)
-    encoded = forest.one_hot_encoder([column]).fit(indexed).transform(indexed)
+    values = dictionary.build(lines, [column])
+    encoded = dictionary.one_hot(dictionary.encode(lines, values), values)
     slots = encoded.select(column, vector_to_array(f"{column}_ohe").alias("v"))
     return (
         slots.select(
