@@ -118,7 +118,7 @@ def _log_run(
             **{f"served_{c}": F.lit(served[c]) for c in ("accuracy", "precision", "recall", "f1")},
         }
     )
-    layers.append_rows(row, f"{path}/{RUN_LOG}", fmt)
+    layers.append_rows(row, f"{path}/{RUN_LOG}", fmt, run_id)
     return row
 
 
@@ -204,7 +204,7 @@ def job_compare(
     spark: SparkSession, path: str, fmt: str = layers.DEFAULT_FORMAT, csv: bool = True
 ) -> dict[str, DataFrame]:
     """Compare the newest runs of both models from stored layers; check all outputs."""
-    log = layers.read_layer(spark, f"{path}/{RUN_LOG}", fmt, **layers.merge_options(fmt))
+    log = layers.read_log(spark, f"{path}/{RUN_LOG}", fmt)
 
     def run_of(name: str) -> DataFrame:
         run_id = read(spark, path, name, fmt).select("run_id").first()["run_id"]
@@ -235,13 +235,15 @@ def job_compare(
         "rf_balanced_predictions", "rf_threshold_metrics", "rf_tuned_predictions",
     )
     written = {name: read(spark, path, name, fmt) for name in names}
-    written |= {RUN_LOG: log, "rf_model_comparison": compared}
+    written["rf_model_comparison"] = compared
+    stored = {name: layers.stored_fingerprint(spark, f"{path}/{name}") for name in written}
+    written[RUN_LOG] = log
     required = {
         "rf_model_comparison": fields.COMPARISON_COLUMNS,
         "rf_threshold_metrics": ["threshold", "f1", "run_id"],
         RUN_LOG: ["run_id", "class_weighting", "num_trees", "max_depth", "logged_at_utc"],
     }
-    check = layers.artifact_check(written, required)
+    check = layers.artifact_check(written, required, stored)
     failed = [row["layer"] for row in check.collect() if not row["ok"]]
     failed += [m for m in ("rf_model", "rf_balanced_model") if not layers.exists(spark, f"{path}/{m}")]
     if failed:

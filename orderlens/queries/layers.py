@@ -37,13 +37,24 @@ def read_layer(spark, sf):
     return layers.read_layer(spark, path).select(_NARROW)
 
 
-@query("write_layer_overwrite", _NARROW_SQL)
+@query(
+    "write_layer_overwrite",
+    over_lines(
+        "SELECT 'now' AS version, Order_ID, Product_ID, Quantity, Order_Amount FROM orders_v "
+        "UNION ALL SELECT 'before', Order_ID, Product_ID, cast(NULL AS int), cast(NULL AS double) "
+        "FROM orders_v WHERE Returned = 1"
+    ),
+)
 def write_layer_overwrite(spark, sf):
-    """The second write replaces rows and schema of the first."""
+    """The second write replaces rows and schema; a reader opened before keeps the first."""
     path = scratch.scratch_path(spark, "replaced")
     lines = star.order_lines(spark, sf)
-    layers.write_layer(lines.select("Brand", "Score"), path)
-    return layers.write_layer(lines.select(_NARROW), path)
+    before = layers.write_layer(lines.where("Returned = 1").select("Order_ID", "Product_ID"), path)
+    now = layers.write_layer(lines.select(_NARROW), path)
+    return now.select(F.lit("now").alias("version"), *_NARROW).unionByName(
+        before.select(F.lit("before").alias("version"), "Order_ID", "Product_ID"),
+        allowMissingColumns=True,
+    )
 
 
 def yearly_runs(spark, sf):
@@ -72,12 +83,14 @@ _RUNS_V = """, runs_v AS (SELECT cast(year(Order_Date) AS int) AS run_year,
     ),
 )
 def append_run_log(spark, sf):
-    """Two appends, of which only the second has the column ``logged_on``."""
+    """Two appends, of which only the second has the column ``logged_on``; both are retried."""
     path = scratch.scratch_path(spark, "run_log")
     runs = yearly_runs(spark, sf)
     odd = F.col("run_year") % 2 == 1
-    layers.append_rows(runs.filter(~odd).drop("logged_on"), path)
-    log = layers.append_rows(runs.filter(odd), path)
+    for _ in range(2):
+        layers.append_rows(runs.filter(~odd).drop("logged_on"), path, run_id="even")
+        layers.append_rows(runs.filter(odd), path, run_id="odd")
+    log = layers.read_log(spark, path)
     return log.select("run_year", "test_rows", ratio6("test_accuracy").alias("test_accuracy"), "logged_on")
 
 
@@ -160,19 +173,31 @@ def persist_reload(spark, sf):
 @query(
     "read_back_validate",
     over_lines(
-        "SELECT 'lines' AS layer, (SELECT count(*) FROM orders_v) AS rows, "
-        "cast(4 AS int) AS columns UNION ALL SELECT 'categories', "
-        "(SELECT count(*) FROM (SELECT DISTINCT Customer_ID, Product_Category FROM orders_v)), "
-        "cast(3 AS int)"
+        ", c AS (SELECT count(*) AS n FROM orders_v), d AS (SELECT count(*) AS n FROM "
+        "(SELECT DISTINCT Customer_ID, Product_Category FROM orders_v)) "
+        "SELECT 'lines' AS layer, n AS rows, cast(4 AS int) AS columns, true AS ok FROM c "
+        "UNION ALL SELECT 'categories', n, 3, true FROM d "
+        "UNION ALL SELECT 'changed', n, 4, false FROM c "
+        "UNION ALL SELECT 'doubled', 2 * n, 4, false FROM c"
     ),
 )
 def read_back_validate(spark, sf):
+    """Two written layers against their fingerprints, and two that are no longer what was written."""
     lines = star.order_lines(spark, sf)
-    written = {
-        "lines": scratch.durable(lines.select(_NARROW), "lines"),
-        "categories": scratch.durable(customers.category_order_count(lines), "categories"),
+    paths = {name: scratch.scratch_path(spark, name) for name in ("lines", "categories")}
+    read = {
+        "lines": layers.write_layer(lines.select(_NARROW), paths["lines"]),
+        "categories": layers.write_layer(
+            customers.category_order_count(lines), paths["categories"]
+        ),
     }
-    return layers.layer_counts(written)
+    stored = {name: layers.stored_fingerprint(spark, path) for name, path in paths.items()}
+    first = read["lines"].agg(F.min("Order_ID")).scalar()
+    one_more = F.col("Quantity") + F.when(F.col("Order_ID") == first, 1).otherwise(0)
+    read["changed"] = read["lines"].withColumn("Quantity", one_more)
+    read["doubled"] = read["lines"].unionAll(read["lines"])
+    stored |= dict.fromkeys(("changed", "doubled"), stored["lines"])
+    return layers.layer_counts(read, stored)
 
 
 @query(
@@ -194,15 +219,24 @@ def preview_rows(spark, sf):
     over_lines(
         "SELECT 'lines' AS layer, count(*) AS rows, '' AS missing_columns, true AS ok "
         "FROM orders_v UNION ALL SELECT 'returned_free', "
-        "count(*) FILTER (WHERE Returned = 1 AND Score < 0), 'Brand', false FROM orders_v"
+        "count(*) FILTER (WHERE Returned = 1 AND Score < 0), 'Brand', false FROM orders_v "
+        "UNION ALL SELECT 'lost', count(*) FILTER (WHERE Returned = 1), '', false FROM orders_v"
     ),
 )
 def artifact_check(spark, sf):
-    lines = star.order_lines(spark, sf)
+    """A sound layer, an empty one that lacks a column, and one that lost rows since its write."""
+    path = scratch.scratch_path(spark, "artifact")
+    lines = layers.write_layer(star.order_lines(spark, sf).select(*_NARROW, "Returned", "Score"), path)
+    stored = layers.stored_fingerprint(spark, path)
     never = (F.col("Returned") == 1) & (F.col("Score") < 0)
     return layers.artifact_check(
-        {"lines": lines.select(_NARROW), "returned_free": lines.filter(never).select(_NARROW)},
+        {
+            "lines": lines,
+            "returned_free": lines.filter(never).select(_NARROW),
+            "lost": lines.filter(F.col("Returned") == 1),
+        },
         {"lines": _NARROW, "returned_free": ["Brand", "Order_ID"]},
+        {"lines": stored, "lost": stored},
     )
 
 

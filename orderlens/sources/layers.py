@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.sources import scratch
+from orderlens.sources import files, fingerprint, scratch
 
 DEFAULT_FORMAT = "parquet"
+#: Formats whose layers are written version by version; of these, those that keep values exactly.
+VERSIONED_FORMATS = ("parquet", "orc", "json", "csv", "avro")
+EXACT_FORMATS = ("parquet", "orc")
+KEPT_VERSIONS = 2
+_POINTER = "_current"
+# an append's folder and the folder of markers
+_ATTEMPT, _MARKERS = "attempt__", "_appended"
 
 
 def read_orders_csv(
@@ -28,14 +38,50 @@ def read_orders_csv(
     return reader.csv(path)
 
 
-def read_layer(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, **options) -> DataFrame:
+def read_layer(
+    spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, version: str | None = None, **options
+) -> DataFrame:
     """A layer by path, or with ``fmt="table"`` by catalog name, as ``save_tables`` left it.
 
+    A layer that ``write_layer`` wrote is read in its current version, or in a named one. The
+    frame stays with that version: a later overwrite does not change what it reads.
     Formats other than Spark's own (Delta, say) need their package, which is not tested here.
     """
     if fmt == "table":
         return spark.read.options(**options).table(path)
-    return spark.read.format(fmt).options(**options).load(path)
+    pointer = _pointer(spark, path)
+    if pointer is None:
+        if version:
+            raise ValueError(f"{path} has no versions")
+        return spark.read.format(fmt).options(**options).load(path)
+    known = {entry["version"]: entry for entry in pointer}
+    entry = known.get(version) if version else pointer[0]
+    if entry is None:
+        raise ValueError(f"{path} has no version {version}, but {', '.join(known)}")
+    schema = T.StructType.fromJson(entry["schema"])
+    return (
+        spark.read.format(entry["format"])
+        .options(**options)
+        .schema(schema)
+        .load(f"{path}/{entry['version']}")
+    )
+
+
+def _pointer(spark: SparkSession, path: str) -> list[dict] | None:
+    """The versions of a layer, the current one first, or None if it has none."""
+    text = files.read_text(spark, f"{path}/{_POINTER}")
+    return json.loads(text) if text else None
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the versions that can be read, the current one first."""
+    return [entry["version"] for entry in _pointer(spark, path) or []]
+
+
+def stored_fingerprint(spark: SparkSession, path: str) -> fingerprint.Fingerprint | None:
+    """What the current version's rows came to when they were written, if its format tells."""
+    pointer = _pointer(spark, path)
+    return pointer[0].get("fingerprint") if pointer else None
 
 
 def write_layer(
@@ -43,35 +89,120 @@ def write_layer(
     path: str,
     fmt: str = DEFAULT_FORMAT,
     partition_by: Sequence[str] = (),
+    keep: int = KEPT_VERSIONS,
     **options,
 ) -> DataFrame:
     """Replace a layer, schema included, and return the frame that reads it.
 
+    The rows go to a folder of their own, beside those of earlier versions; then one rename of
+    a small file makes them the layer. Until then, and if writing fails, the layer is as it
+    was, and frames opened before keep reading their version. The last ``keep`` versions
+    are kept. Of two writers at once, the last to end wins, with all of its rows. Formats with
+    a transaction log of their own (Delta) are overwritten in place.
+    The rows' fingerprint is taken in the same pass and stored with the version.
+
     Consumers should go on from the returned frame, so the plan behind ``df`` runs once.
     """
-    if fmt == "delta":
-        options.setdefault("overwriteSchema", True)
-    writer = df.write.format(fmt).mode("overwrite").options(**options)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-    return read_layer(df.sparkSession, path, fmt)
+    spark = df.sparkSession
+    if fmt not in VERSIONED_FORMATS:
+        if fmt == "delta":
+            options.setdefault("overwriteSchema", True)
+        writer = df.write.format(fmt).mode("overwrite").options(**options)
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+        return read_layer(spark, path, fmt)
+    version = f"v-{uuid.uuid4().hex[:16]}"
+    target = f"{path}/{version}"
+    seen = Observation(version)
+    observed = df.observe(seen, *fingerprint.aggregates(df)) if fmt in EXACT_FORMATS else df
+    writer = observed.write.format(fmt).mode("errorifexists").options(**options)
+    try:
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
+    except BaseException:
+        files.delete(spark, target)
+        raise
+    entry = {"version": version, "format": fmt, "schema": _read_schema(df, partition_by)}
+    if fmt in EXACT_FORMATS:
+        entry["fingerprint"] = seen.get
+    history = [entry, *(_pointer(spark, path) or [])]
+    files.replace_text(spark, f"{path}/{_POINTER}", json.dumps(history[:keep]))
+    for old in history[keep:]:
+        files.delete(spark, f"{path}/{old['version']}")
+    return read_layer(spark, path, fmt)
+
+
+def _read_schema(df: DataFrame, partition_by: Sequence[str]) -> dict:
+    """The schema as files give it back: all nullable, partition columns last."""
+    last = set(partition_by)
+    ordered = [f for f in df.schema.fields if f.name not in last]
+    ordered += [df.schema[name] for name in partition_by]
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in ordered]).jsonValue()
+
+
+def append_rows(
+    df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, run_id: str | None = None
+) -> DataFrame:
+    """Append to a log and return all of it; columns new in ``df`` are null in older rows.
+
+    Every append writes a folder of its own and then a marker that names it, so appenders
+    at the same time do not meet, and rows of an append that died before its marker are never
+    read. ``run_id`` names what is logged: of several appends with the same one, such as
+    a retry, only the first that ended counts. Without it every append counts.
+    """
+    spark = df.sparkSession
+    attempt = f"a-{uuid.uuid4().hex}"
+    folder = f"{path}/{_ATTEMPT}={attempt}"
+    try:
+        df.write.format(fmt).save(folder)
+    except BaseException:
+        files.delete(spark, folder)
+        raise
+    marker = {
+        "run_id": attempt if run_id is None else run_id,
+        "attempt": attempt,
+        "ended_at": time.time_ns(),
+    }
+    files.replace_text(spark, f"{path}/{_MARKERS}/{attempt}.json", json.dumps(marker))
+    return read_log(spark, path, fmt)
+
+
+def _counted(spark: SparkSession, path: str) -> DataFrame:
+    """Folders that count: of each run, the first attempt that ended."""
+    markers = spark.read.schema("run_id string, attempt string, ended_at long").json(
+        f"{path}/{_MARKERS}"
+    )
+    first = F.min(F.struct("ended_at", "attempt")).alias("first")
+    return markers.groupBy("run_id").agg(first).select(F.col("first.attempt").alias(_ATTEMPT))
+
 
+def read_log(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
+    """All rows that ``append_rows`` committed, each run's once.
+
+    A folder without markers, as other writers leave it, is read as it is.
+    """
+    merge = {"mergeSchema": True} if fmt in ("parquet", "orc", "delta") else {}
+    if not files.children(spark, f"{path}/{_MARKERS}"):
+        return read_layer(spark, path, fmt, **merge)
+    rows = spark.read.format(fmt).options(**merge).load(path)
+    return rows.join(_counted(spark, path), _ATTEMPT, "left_semi").drop(_ATTEMPT)
 
-def merge_options(fmt: str) -> dict[str, bool]:
-    """What lets rows of a log differ in their columns, where the format can."""
-    return {"mergeSchema": True} if fmt in ("parquet", "orc", "delta") else {}
 
+def forget_uncounted(spark: SparkSession, path: str) -> list[str]:
+    """Delete folders that lost to an earlier attempt of their run; returns their names.
 
-def append_rows(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """Append to a log and return all of it; columns new in ``df`` are null in older rows."""
-    df.write.format(fmt).mode("append").options(**merge_options(fmt)).save(path)
-    return read_layer(df.sparkSession, path, fmt, **merge_options(fmt))
+    Folders without a marker stay, since their append may not have ended. Frames that were
+    opened before may name deleted files, so this belongs where no one reads.
+    """
+    counted = {row[_ATTEMPT] for row in _counted(spark, path).collect()}
+    ended = {name.removesuffix(".json") for name in files.children(spark, f"{path}/{_MARKERS}")}
+    lost = sorted(ended - counted)
+    for attempt in lost:
+        files.delete(spark, f"{path}/{_MARKERS}/{attempt}.json")
+        files.delete(spark, f"{path}/{_ATTEMPT}={attempt}")
+    return lost
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+    return files.exists(spark, path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -101,11 +232,23 @@ def save_tables(
     tables: Mapping[str, DataFrame],
     location: str | None = None,
 ) -> None:
-    """Save managed tables in a database, without changing the current database."""
+    """Save tables in a database, without changing the current database.
+
+    Each is a versioned layer in the database's folder, and a view names its current version.
+    Replacing the view is one change of the catalog, schema included: a reader gets all old or
+    all new rows. A table of that name that was not saved here gives way to the view.
+    """
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
+    folder = spark.catalog.getDatabase(database).locationUri.rstrip("/")
     for name, df in tables.items():
-        df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+        path = f"{folder}/{name}_versions"
+        write_layer(df, path)
+        current = files.qualified(spark, f"{path}/{versions(spark, path)[0]}")
+        full = f"{database}.`{name}`"
+        if spark.catalog.tableExists(full) and spark.catalog.getTable(full).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {full}")
+        spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT * FROM {DEFAULT_FORMAT}.`{current}`")
 
 
 def rows_to_table(spark: SparkSession, rows: Sequence, schema: str | T.StructType) -> DataFrame:
@@ -118,35 +261,58 @@ def preview(df: DataFrame, n: int, order: Sequence | None = None) -> DataFrame:
     return (df.orderBy(*order) if order else df).limit(n)
 
 
-def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
-    """Read-back check: one row per layer with its row and column count."""
-    parts = [
-        df.agg(F.count("*").alias("rows")).select(
-            F.lit(name).alias("layer"), "rows", F.lit(len(df.columns)).alias("columns")
-        )
-        for name, df in layers.items()
-    ]
-    return _stack(parts)
+def layer_counts(
+    layers: Mapping[str, DataFrame],
+    stored: Mapping[str, fingerprint.Fingerprint | None] | None = None,
+) -> DataFrame:
+    """Read-back check: one row per layer with its row and column count, and whether it is sound.
+
+    ``stored``: fingerprints taken when the layers were written. A layer is ``ok`` if its rows
+    are still those, none changed, lost or doubled; null if there is nothing to compare with.
+    """
+    return _stack(
+        [
+            _measured(df, name, (stored or {}).get(name))
+            .withColumn("columns", F.lit(len(df.columns)))
+            .select("layer", "rows", "columns", F.col("sound").alias("ok"))
+            for name, df in layers.items()
+        ]
+    )
 
 
 def artifact_check(
-    layers: Mapping[str, DataFrame], required: Mapping[str, Sequence[str]] | None = None
+    layers: Mapping[str, DataFrame],
+    required: Mapping[str, Sequence[str]] | None = None,
+    stored: Mapping[str, fingerprint.Fingerprint | None] | None = None,
 ) -> DataFrame:
-    """One row per final output: is it there, with rows and its required columns?"""
+    """One row per final output: is it there, with rows, its required columns and, where a
+    fingerprint was stored, exactly the rows that were written?"""
     parts = []
     for name, df in layers.items():
         missing = sorted(set((required or {}).get(name, ())) - set(df.columns))
+        sound = F.coalesce("sound", F.lit(True))
         parts.append(
-            df.agg(F.count("*").alias("rows")).select(
-                F.lit(name).alias("layer"),
+            _measured(df, name, (stored or {}).get(name)).select(
+                "layer",
                 "rows",
                 F.lit(", ".join(missing)).alias("missing_columns"),
-                (F.lit(not missing) & (F.col("rows") > 0)).alias("ok"),
+                (F.lit(not missing) & (F.col("rows") > 0) & sound).alias("ok"),
             )
         )
     return _stack(parts)
 
 
+def _measured(df: DataFrame, name: str, stored: fingerprint.Fingerprint | None) -> DataFrame:
+    """layer, rows and sound: null without a fingerprint, whose aggregate is spared then."""
+    if stored is None:
+        counted, sound = df.agg(F.count("*").alias("rows")), F.lit(None).cast("boolean")
+    else:
+        counted, sound = df.agg(*fingerprint.aggregates(df)), fingerprint.equals(stored)
+    return counted.select(
+        F.lit(name).alias("layer"), F.col("rows").cast("long").alias("rows"), sound.alias("sound")
+    )
+
+
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     result = parts[0]
     for part in parts[1:]:

@@ -15,6 +15,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.sources import files
+
 SCRATCH_SETTING = "spark.checkpoint.dir"
 WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
@@ -55,12 +57,7 @@ def scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes.pop()
-        _delete(spark, path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+        files.delete(spark, path)
 
 
 def durable(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -75,4 +72,4 @@ def durable(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch tables, once nothing reads them any more."""
-    _delete(spark, scratch_root(spark))
+    files.delete(spark, scratch_root(spark))

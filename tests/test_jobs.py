@@ -67,7 +67,7 @@ def test_stages_restart_from_stored_layers(spark, tmp_path):
         lines, str(tmp_path / "once"), settings, fmt="orc", validation_percent=20
     )["rf_model_comparison"].select(*names)
     assert sorted(map(tuple, compared.collect())) == sorted(map(tuple, once.collect()))
-    log = layers.read_layer(spark, f"{path}/rf_train_runs", "orc")
+    log = layers.read_log(spark, f"{path}/rf_train_runs", "orc")
     assert {r["class_weighting"]: r["num_trees"] for r in log.collect()} == {"None": 2, "balanced": 2}
     defaults = scoring.read_defaults(layers.read_layer(spark, f"{path}/rf_defaults", "orc"))
     assert defaults["quantity"] > 1
