@@ -7,9 +7,17 @@ from pyspark.sql import functions as F
 
 from orderlens import fields
 from orderlens.functions import scoring as expressions
-from orderlens.operators import comparison, dictionary, evaluation, forest, schema, splits
+from orderlens.operators import (
+    comparison,
+    dictionary,
+    evaluation,
+    forest,
+    schema,
+    splits,
+    trees,
+)
 from orderlens.plans import scoring, training
-from orderlens.queries.registry import over_lines, query
+from orderlens.queries.registry import over_lines, query, ratio6
 from orderlens.queries.tables import BUCKET_SQL, FEATURE_SQL, MIN_COUNT
 from orderlens.sources import layers, scratch, star
 from orderlens.streaming import scoring as streaming
@@ -194,6 +202,227 @@ def feature_importances(spark, sf):
     )
 
 
+# --- one tree without sampling, whose splits SQL can search itself
+
+# the band of a score that foretells returns stands in for an amount that the lines lack
+_TREE_FEATURES = {
+    "quarter": "cast(Quarter AS double)",
+    "quantity": "cast(Quantity AS double)",
+    "discount_percent": "cast(Discount_Percent AS double)",
+    "profit_amount": "cast(floor(Score * 20) AS double)",
+}
+#: More bins than any of these features has values, so that every value is a bin.
+_TREE = {"trees": 1, "depth": 2, "bootstrap": False, "featureSubsetStrategy": "all", "maxBins": 64}
+
+
+def _tree_sql(balanced: bool) -> str:
+    """The best Gini splits of two levels as SQL: views ``nodes`` (places as in a heap), ``t``.
+
+    Thresholds lie between neighbouring values of the training rows; ties go to the first
+    feature and the lowest threshold; leaves that decide alike are one leaf.
+    """
+    names = list(_TREE_FEATURES)
+    weight = (
+        "CASE WHEN Returned = 1 THEN count(*) OVER () / (2.0 * sum(Returned) OVER ()) "
+        "ELSE count(*) OVER () / (2.0 * sum(1 - Returned) OVER ()) END"
+        if balanced
+        else "1.0"
+    )
+    values = ", ".join(f"{sql} AS {name}" for name, sql in _TREE_FEATURES.items())
+    gini = "(CASE WHEN {0} + {1} > 0 THEN 1 - ({0} * {0} + {1} * {1}) / (({0} + {1}) * ({0} + {1})) ELSE 0 END)"
+    parts = [
+        f"t AS MATERIALIZED (SELECT Order_ID, Product_ID, Returned, {values}, "
+        f"{BUCKET_SQL} < {fields.TRAIN_PERCENT} AS train FROM orders_v)",
+        f"k AS MATERIALIZED (SELECT {', '.join(names)}, Returned, cast({weight} AS double) AS w "
+        "FROM t WHERE train)",
+        "u AS (" + " UNION ALL ".join(
+            f"SELECT DISTINCT {i} AS f, {name} AS v FROM k" for i, name in enumerate(names)
+        ) + ")",
+        "b AS (SELECT f, (v + lead(v) OVER (PARTITION BY f ORDER BY v)) / 2 AS t FROM u)",
+    ]
+
+    def search(level: str, rows: str) -> list[str]:
+        long = " UNION ALL ".join(
+            f"SELECT place, {i} AS f, {name} AS v, w, Returned FROM {rows}" for i, name in enumerate(names)
+        )
+        g = gini.format
+        return [
+            f"n{level} AS MATERIALIZED (SELECT place, count(*) AS n, "
+            "coalesce(sum(w) FILTER (WHERE Returned = 0), 0) AS z, "
+            f"coalesce(sum(w) FILTER (WHERE Returned = 1), 0) AS o FROM {rows} GROUP BY place)",
+            f"c{level} AS (SELECT place, f, v, coalesce(sum(w) FILTER (WHERE Returned = 0), 0) AS z, "
+            f"coalesce(sum(w) FILTER (WHERE Returned = 1), 0) AS o FROM ({long}) GROUP BY place, f, v)",
+            f"l{level} AS (SELECT place, b.f, b.t, coalesce(sum(z), 0) AS lz, coalesce(sum(o), 0) AS lo "
+            f"FROM b JOIN c{level} c ON c.f = b.f AND c.v <= b.t WHERE b.t IS NOT NULL GROUP BY place, b.f, b.t)",
+            f"g{level} AS (SELECT place, f, t, {g('z', 'o')} "
+            f"- (lz + lo) / (z + o) * {g('lz', 'lo')} "
+            f"- (z + o - lz - lo) / (z + o) * {g('(z - lz)', '(o - lo)')} AS gain "
+            f"FROM l{level} JOIN n{level} USING (place) WHERE z + o - lz - lo > 1e-9)",
+            f"s{level} AS MATERIALIZED (SELECT place, f, t FROM g{level} WHERE gain > 1e-12 QUALIFY "
+            "row_number() OVER (PARTITION BY place ORDER BY round(gain, 12) DESC, f, t) = 1)",
+        ]
+
+    value = "CASE f " + " ".join(f"WHEN {i} THEN {name}" for i, name in enumerate(names)) + " END"
+    parts += ["k0 AS (SELECT 1 AS place, * FROM k)", *search("0", "k0")]
+    parts.append(
+        f"k1 AS MATERIALIZED (SELECT CASE WHEN {value} <= t THEN 2 ELSE 3 END AS place, k.* FROM k, s0)"
+    )
+    parts += search("1", "k1")
+    parts += [
+        f"k2 AS (SELECT CASE WHEN {value} <= s1.t THEN 2 * place ELSE 2 * place + 1 END AS place, w, Returned "
+        "FROM k1 JOIN s1 USING (place))",
+        "n2 AS (SELECT place, count(*) AS n, coalesce(sum(w) FILTER (WHERE Returned = 0), 0) AS z, "
+        "coalesce(sum(w) FILTER (WHERE Returned = 1), 0) AS o FROM k2 GROUP BY place)",
+        # the lower of two equal classes decides
+        "grown AS (SELECT * FROM (SELECT * FROM n0 UNION ALL SELECT * FROM n1 UNION ALL SELECT * FROM n2) "
+        "LEFT JOIN (SELECT * FROM s0 UNION ALL SELECT * FROM s1) USING (place))",
+        "cut1 AS (SELECT place // 2 AS place FROM n2 GROUP BY 1 HAVING min(cast(o > z AS int)) = max(cast(o > z AS int)))",
+        "cut0 AS (SELECT 1 AS place FROM n1 HAVING min(cast(o > z AS int)) = max(cast(o > z AS int)) "
+        "AND NOT EXISTS (SELECT * FROM s1 WHERE place NOT IN (SELECT place FROM cut1)))",
+        "nodes AS MATERIALIZED (SELECT place, n, z, o, CASE WHEN place NOT IN (SELECT place FROM cut1) AND place NOT IN "
+        "(SELECT place FROM cut0) THEN f END AS f, CASE WHEN place NOT IN (SELECT place FROM cut1) AND "
+        "place NOT IN (SELECT place FROM cut0) THEN t END AS t FROM grown "
+        "WHERE place // 2 NOT IN (SELECT place FROM cut1) AND place // 2 NOT IN (SELECT place FROM cut0) "
+        "AND place // 4 NOT IN (SELECT place FROM cut0))",
+    ]
+    return ", " + ", ".join(parts)
+
+
+def _leaf_sql() -> str:
+    """Rows with the leaf they fall into, for a query over ``nodes`` and ``t``."""
+    value = "CASE {0}.f " + " ".join(
+        f"WHEN {i} THEN {name}" for i, name in enumerate(_TREE_FEATURES)
+    ) + " END"
+    root, child = value.format("r"), value.format("c")
+    return (
+        f", p1 AS (SELECT t.*, CASE WHEN r.f IS NULL THEN 1 WHEN {root} <= r.t THEN 2 ELSE 3 END AS first "
+        "FROM t, (SELECT * FROM nodes WHERE place = 1) r), "
+        f"p2 AS (SELECT p1.*, CASE WHEN first = 1 OR c.f IS NULL THEN first WHEN {child} <= c.t "
+        "THEN 2 * first ELSE 2 * first + 1 END AS leaf FROM p1 JOIN nodes c ON c.place = first), "
+        "scored AS (SELECT p2.*, o / (z + o) AS probability FROM p2 JOIN nodes ON nodes.place = leaf)"
+    )
+
+
+_NODES_SQL = (
+    "SELECT place, CASE f "
+    + " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(_TREE_FEATURES))
+    + " END AS feature, t AS threshold, n AS rows, round(z, 4) AS zeros, round(o, 4) AS ones FROM nodes"
+)
+
+
+def tree_lines(spark, sf):
+    """Order lines with the features of the single tree, by the names that scoring expects."""
+    lines = star.order_lines(spark, sf)
+    return lines.select(
+        F.col("Order_ID").alias("order_id"),
+        F.col("Product_ID").alias("product_id"),
+        F.col("Returned").alias(fields.LABEL),
+        *[F.expr(sql).alias(name) for name, sql in _TREE_FEATURES.items()],
+    )
+
+
+def single_tree(spark, sf, balanced: bool):
+    """The tree fitted on the training lines, and all lines with their split."""
+    tagged = scratch.durable(splits.tag_split(tree_lines(spark, sf), ["order_id"]), "tree_lines")
+    train = splits.take_split(tagged, splits.TRAIN).drop("order_id", "product_id")
+    fit = forest.train_balanced_forest if balanced else forest.train_random_forest
+    return fit(train, **_TREE), tagged
+
+
+def _tree_nodes(spark, sf, balanced: bool):
+    model, _ = single_tree(spark, sf, balanced)
+    nodes = trees.paths(trees.saved_nodes(model, spark), _TREE["depth"])
+    # the assembler takes numbers in the order of the data contract
+    _, numeric = forest.feature_columns(tree_lines(spark, sf))
+    return trees.named(nodes, numeric).select(
+        F.col("place").cast("int").alias("place"),
+        "feature",
+        "threshold",
+        "rows",
+        F.round(F.col("stats")[0], 4).alias("zeros"),
+        F.round(F.col("stats")[1], 4).alias("ones"),
+    )
+
+
+@query("tree_splits", over_lines(f"{_tree_sql(False)} {_NODES_SQL}"))
+def tree_splits(spark, sf):
+    """Splits and leaves of one tree, which SQL searches for itself."""
+    return _tree_nodes(spark, sf, balanced=False)
+
+
+@query("tree_splits_balanced", over_lines(f"{_tree_sql(True)} {_NODES_SQL}"))
+def tree_splits_balanced(spark, sf):
+    """The same with balanced classes, whose weights enter every split."""
+    return _tree_nodes(spark, sf, balanced=True)
+
+
+@query(
+    "tree_predictions",
+    over_lines(
+        f"{_tree_sql(True)}{_leaf_sql()} SELECT Order_ID AS order_id, Product_ID AS product_id, "
+        "Returned AS returned, cast(probability > 0.5 AS int) AS default_prediction, "
+        "round(probability + 1e-9, 6) AS return_probability FROM scored WHERE NOT train"
+    ),
+)
+def tree_predictions(spark, sf):
+    """Every test row's prediction and probability: those of its leaf."""
+    model, tagged = single_tree(spark, sf, balanced=True)
+    test = splits.take_split(tagged, splits.TEST)
+    rows = forest.with_probability(
+        forest.batch_predict(model, test, keep=["order_id", "product_id"])
+    )
+    return rows.withColumn("return_probability", ratio6("return_probability"))
+
+
+@query(
+    "tree_scores",
+    over_lines(
+        f"{_tree_sql(True)}{_leaf_sql()}, r AS (SELECT *, probability AS p FROM scored) "
+        "SELECT Order_ID AS order_id, Product_ID AS product_id, "
+        f"CASE WHEN p >= {fields.SERVING_THRESHOLD} THEN 1 ELSE 0 END AS prediction, "
+        "round(p, 6) AS return_probability, "
+        f"cast({fields.SERVING_THRESHOLD} AS double) AS threshold, "
+        "CASE WHEN p >= 0.75 THEN 'High return risk' WHEN p >= 0.5 THEN 'Likely return' "
+        "WHEN p >= 0.3 THEN 'Moderate return risk' ELSE 'Low return risk' END AS risk_label FROM r"
+    ),
+)
+def tree_scores(spark, sf):
+    """Every line scored as a record: probability, decision and label of its leaf."""
+    model, tagged = single_tree(spark, sf, balanced=True)
+    return scoring.score_batch(
+        model, tagged.drop(fields.LABEL), keep=["order_id", "product_id"]
+    )
+
+
+@query(
+    "stored_importances",
+    over_lines(
+        "SELECT m AS model, cast(0 AS bigint) AS differing, true AS adds_up "
+        "FROM (SELECT unnest(['plain', 'balanced']) AS m)"
+    ),
+)
+def stored_importances(spark, sf):
+    """Features whose importance in the stored nodes is not what the model itself says."""
+    train, _ = prepared_splits(spark, sf)
+    models = {
+        "plain": forest.train_random_forest(train, TREES, DEPTH),
+        "balanced": forest.train_balanced_forest(train, TREES, DEPTH),
+    }
+    rows = []
+    for name, model in models.items():
+        vector = model.stages[-1].featureImportances.toArray().tolist()
+        said = spark.createDataFrame(list(enumerate(vector)), "feature int, said double")
+        found = said.join(trees.importances(trees.saved_nodes(model, spark)), "feature", "left")
+        importance = F.coalesce("importance", F.lit(0.0))
+        rows.append(
+            found.agg(
+                F.count_if(F.abs(importance - F.col("said")) > 1e-9).alias("differing"),
+                _close(F.sum(importance), F.lit(1.0)).alias("adds_up"),
+            ).select(F.lit(name).alias("model"), "differing", "adds_up")
+        )
+    return rows[0].unionByName(rows[1])
+
+
 @query(
     "model_save_load",
     over_lines(
