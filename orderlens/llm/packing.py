@@ -39,6 +39,23 @@ class Limits:
     loss_tokens: int = 4096
 
 
+class _Cache(dict):
+    """Ids by key, computed once. Keys unused for ``size`` others leave, so memory is bounded."""
+
+    def __init__(self, compute, size: int):
+        self.compute, self.size, self.old = compute, size, {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.compute(key)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = ids
+        return ids
+
+
 class WordEncoder:
     """Token ids of texts, word by word, for tokenizers that drop white space.
 
@@ -47,53 +64,63 @@ class WordEncoder:
     little-endian ids.
     """
 
-    # the tokenizer's own split, for printable ASCII
-    _ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+    # the tokenizer's own split, for printable ASCII and the letters of Latin-1, which are
+    # their own composed form and have one lower-case letter each
+    _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    _PARTS = re.compile(
+        r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+"
+    )
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words = _Cache(self._word, CACHE_WORDS)
+        self.parts = _Cache(self._part, CACHE_WORDS)
+        # the characters that stand for the bytes of those letters
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(0xC0, 0x100)]
+        self.stand_in = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in letters}
 
     def whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            ids = self.parts[part] = _packed([t.id for t in self.model.tokenize(part)])
-        return ids
+        return _packed([t.id for t in self.model.tokenize(part)])
 
     def _word(self, word: str) -> bytes:
         if "<|" in word:  # may hold a special token
             return self.whole(word)
-        if word.isascii() and word.isprintable():
-            parts = self._ASCII_PARTS.findall(word.lower())
+        if self._PLAIN.fullmatch(word):
+            parts = self._PARTS.findall(word.lower())
+            if not word.isascii():
+                parts = [p if p.isascii() else p.translate(self.stand_in) for p in parts]
         else:
             normal = self.tokenizer.normalizer.normalize_str(word)
             parts = [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
-        return b"".join(map(self._part, parts))
+        if len(parts) == 1:
+            return self.parts[parts[0]]
+        return b"".join([self.parts[p] for p in parts])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _SEPARATORS.search(t) else t.split() for t in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
-        known = self.words
-        for words in split:
-            if words is not None:
-                for word in set(words).difference(known):
-                    known[word] = self._word(word)
+        ids = self.words.__getitem__
         return [
-            self.whole(text) if words is None else b"".join(map(known.__getitem__, words))
-            for text, words in zip(texts, split, strict=True)
+            self.whole(text) if _SEPARATORS.search(text) else b"".join(map(ids, text.split()))
+            for text in texts
         ]
 
 
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """This process's encoder, with what it knows from earlier tasks."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 #: White space to Python, but not to the tokenizer.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -244,7 +271,7 @@ def pack(
         import pyarrow as pa
 
         arrow_schema = None
-        encoder = WordEncoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         first = TaskContext.get().partitionId() * SEQUENCES_PER_PARTITION
         packer = _Packer(limits, first, window)
 

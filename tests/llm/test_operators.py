@@ -535,3 +535,73 @@ def test_mix_follows_the_targets_themselves(spark, many):
 def test_digest_of_ids(spark):
     df = spark.createDataFrame([(bytearray(b"\x02\x00\x00\x00"),)], "ids binary")
     assert df.select(F.crc32("ids")).first()[0] == zlib.crc32(b"\x02\x00\x00\x00")
+
+
+def test_word_ids_equal_the_tokenizers(spark):
+    """Whole texts through the tokenizer itself, for letters, marks and separators of all kinds."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    rng = random.Random(1)
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    pool = [chr(c) for c in [*range(9, 14), *range(32, 127), *range(32, 127), *range(0xA0, 0x250)]]
+    pool += ["İ", "Σ", "ς", "́", "中", "\U0001f600", " ", "\x85", "\x1c"]
+    pool += ["\xad", "ﬁ"]
+    texts = ["".join(rng.choices(pool, k=40)) for _ in range(1500)]
+    texts += ["don't it's WE'LL <|endoftext|> É'S ÀÉÎ'll straße ÿ Ÿ ª º µ × ÷", "", " ", "ΟΔΟΣ ΌΔΟΣ."]
+    texts += [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(150).collect()]
+    encoder = packing.WordEncoder(tokenizer_path())
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids == packing._packed(want), text
+
+
+def test_bounded_caches_forget_and_still_answer(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 8)
+    encoder = packing.WordEncoder(tokenizer_path())
+    plain = packing.WordEncoder(tokenizer_path())
+    text = " ".join(f"word{i % 23} été{i % 11}" for i in range(400))
+    assert encoder.encode([text, text]) == [plain.whole(text)] * 2
+    assert len(encoder.words) <= 8 and len(encoder.words.old) <= 8
+
+
+def test_the_dot_product_decides_not_the_length():
+    """Against a plain packer; some choices are not the longest example that fits."""
+    import random
+
+    rng = random.Random(5)
+    limits = packing.Limits(tokens=100, segments=6, loss_tokens=40)
+    examples = []
+    for i in range(60):
+        n = rng.randint(5, 60)
+        examples.append(((i,), bytes(4 * n), rng.randint(0, n)))
+
+    def first_sequence(choose):
+        """Until nothing fits whole any more."""
+        waiting = [(k[0], len(ids) // 4, max(0, len(ids) // 4 - p)) for k, ids, p in examples]
+        tokens, segments, loss, taken = limits.tokens, limits.segments, limits.loss_tokens, []
+        while segments > 1 and (fits := [w for w in waiting if w[1] <= tokens and w[2] <= loss]):
+            best = choose(fits, tokens, segments, loss)
+            waiting.remove(best)
+            taken.append(best[0])
+            tokens, segments, loss = tokens - best[1], segments - 1, loss - best[2]
+        return taken
+
+    def dot(fits, tokens, segments, loss):
+        c = limits
+        return max(
+            fits,
+            key=lambda w: w[1] * tokens / c.tokens**2 + segments / c.segments**2 + w[2] * loss / c.loss_tokens**2,
+        )
+
+    def longest(fits, *_):
+        return max(fits, key=lambda w: w[1])
+
+    packer = packing._Packer(limits, 0, 512)
+    packer.add(examples)
+    packer._fill()
+    first = list(dict.fromkeys(row[0] for row in packer.out))
+    by_dot, by_length = first_sequence(dot), first_sequence(longest)
+    assert first[: len(by_dot)] == by_dot
+    assert by_dot != by_length
