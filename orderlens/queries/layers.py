@@ -30,6 +30,64 @@ def read_orders_csv(spark, sf):
     return layers.read_orders_csv(spark, path, columns=list(RAW_NAMES))
 
 
+# what becomes of every line of a file in which some lines lost or gained fields
+_DAMAGE_SQL = (
+    "CASE WHEN Order_ID % 89 = 0 THEN 'too few fields' WHEN Order_ID % 83 = 0 THEN 'too many fields' "
+    "WHEN Order_ID % 79 = 0 THEN 'open quote' END"
+)
+_DAMAGED_LINE = {
+    None: "concat_ws(',', Order_ID, concat('\"', Product_Category, ', \"\"new\"\"\"'), Quantity, Order_Status)",
+    "too few fields": "concat_ws(',', Order_ID, Quantity)",
+    "too many fields": "concat_ws(',', Order_ID, Product_Category, Quantity, Order_Status, 'more', '')",
+    "open quote": "concat_ws(',', Order_ID, concat('\"', Product_Category), Quantity, Order_Status)",
+}
+
+
+def damaged_lines(spark, sf):
+    """Order lines as CSV text with one quoted field, some of them damaged."""
+    lines = star.order_lines(spark, sf)
+    damage = F.expr(_DAMAGE_SQL)
+    text = F.expr(_DAMAGED_LINE[None])
+    for reason, made in _DAMAGED_LINE.items():
+        if reason:
+            text = F.when(damage == reason, F.expr(made)).otherwise(text)
+    return lines.select(text.alias("value"))
+
+
+@query(
+    "read_orders_checked",
+    over_lines(
+        f"SELECT Order_ID, coalesce({_DAMAGE_SQL}, 'good') AS outcome, count(*) AS n, "
+        f"cast(CASE {_DAMAGE_SQL} WHEN 'too few fields' THEN 2 WHEN 'too many fields' THEN 6 "
+        "WHEN 'open quote' THEN 4 ELSE 4 END AS int) AS fields, "
+        f"CASE WHEN {_DAMAGE_SQL} IS NULL THEN min(Product_Category || ', \"new\"') END AS category "
+        "FROM orders_v GROUP BY Order_ID"
+    ),
+)
+def read_orders_checked(spark, sf):
+    """Every line is a good row or a quarantined one, which keeps its text and has a reason."""
+    path = scratch.scratch_path(spark, "damaged_csv")
+    damaged_lines(spark, sf).write.text(path)
+    columns = ["Order_ID", "Product_Category", "Quantity", "Order_Status"]
+    read = layers.read_orders_checked(spark, path, columns, header=False)
+    good = read.rows.select(
+        F.col("Order_ID").cast("long").alias("Order_ID"),
+        F.lit("good").alias("outcome"),
+        F.lit(len(columns)).alias("fields"),
+        F.col("Product_Category").alias("category"),
+    )
+    bad = read.quarantined.select(
+        F.substring_index("line", ",", 1).cast("long").alias("Order_ID"),
+        F.col("reason").alias("outcome"),
+        "fields",
+        F.lit(None).cast("string").alias("category"),
+    )
+    both = good.unionByName(bad)
+    return both.groupBy("Order_ID", "outcome", "fields").agg(
+        F.count("*").alias("n"), F.min("category").alias("category")
+    )
+
+
 @query("read_layer", _NARROW_SQL)
 def read_layer(spark, sf):
     path = scratch.scratch_path(spark, "lines")

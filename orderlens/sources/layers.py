@@ -6,6 +6,7 @@ import json
 import time
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,60 @@ def read_orders_csv(
     return reader.csv(path)
 
 
+@dataclass
+class CheckedRead:
+    """``rows``: the records that fit; ``quarantined``: line and reason of all others."""
+
+    rows: DataFrame
+    quarantined: DataFrame
+
+
+def read_orders_checked(
+    spark: SparkSession, path: str, columns: Sequence[str], header: bool = True
+) -> CheckedRead:
+    """Raw orders as text, with lines that do not fit the columns set apart.
+
+    A record with too few or too many fields is no order: the plain reader would fill it with
+    nulls or cut it, so that values could stand under the wrong header. Here it keeps its
+    whole line and a reason: ``too few fields``, ``too many fields`` or ``open quote``, and its
+    number of fields. Good and quarantined rows together are the file's lines, without
+    headers and blank lines. The file is parsed once; both tables read what that wrote.
+    """
+    broken = "line__"
+    if broken in columns:
+        raise ValueError(f"{broken} is no column of an order")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*columns, broken]])
+    parsed = (
+        spark.read.schema(schema)
+        .option("header", header)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("multiLine", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", broken)
+        # a pruned read would not count the fields
+        .option("columnPruning", False)
+        .csv(path)
+    )
+    written = scratch.durable(parsed, "parsed-orders")
+    line = F.col(broken)
+    # a quoted stretch is one value, commas and doubled quotes included
+    bare = F.regexp_replace(line, r'"(?:[^"]|"")*"', "q")
+    fields = F.size(F.split(bare, ","))
+    reason = (
+        F.when(F.contains(bare, F.lit('"')), "open quote")
+        .when(fields < len(columns), "too few fields")
+        .when(fields > len(columns), "too many fields")
+        .otherwise("unreadable")
+    )
+    return CheckedRead(
+        written.where(line.isNull()).select(*[F.col(f"`{c}`") for c in columns]),
+        written.where(line.isNotNull()).select(
+            line.alias("line"), reason.alias("reason"), fields.alias("fields")
+        ),
+    )
+
+
 def read_layer(
     spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, version: str | None = None, **options
 ) -> DataFrame:
