@@ -99,15 +99,15 @@ def customer_attributes(lines: DataFrame) -> DataFrame:
     )
 
 
-def customer_profile(lines: DataFrame) -> DataFrame:
-    """All customer aggregates: base, ``ml_`` purchase behaviour and favourite category.
+def category_state(lines: DataFrame) -> DataFrame:
+    """One row per customer and category, from which ``profile_of`` makes all aggregates.
 
-    Reads ``lines`` twice (few columns the second time), so they should be a written
-    layer. Unused columns are pruned together with the work behind them.
+    Sums, counts, least and greatest dates and first attributes: rows of several parts of the
+    lines can be put together and give what the whole gives.
     """
     require_columns(lines, fields.FEATURE_INPUTS)
     category = F.col("Product_Category")
-    per_category = (
+    return (
         lines.groupBy(KEY, category, *ATTRIBUTES)
         .agg(*_line_measures())
         .groupBy(KEY, category)
@@ -116,6 +116,27 @@ def customer_profile(lines: DataFrame) -> DataFrame:
             *[_first_seen(F.col(a)).alias(a) for a in ATTRIBUTES],
         )
     )
+
+
+def merge_category_states(states: DataFrame) -> DataFrame:
+    """Rows of several states as one state, again one row per customer and category."""
+    return states.groupBy(KEY, "Product_Category").agg(
+        *_merged_measures(), *[F.min(a).alias(a) for a in ATTRIBUTES]
+    )
+
+
+def customer_profile(lines: DataFrame) -> DataFrame:
+    """All customer aggregates: base, ``ml_`` purchase behaviour and favourite category.
+
+    Reads ``lines`` twice (few columns the second time), so they should be a written
+    layer. Unused columns are pruned together with the work behind them.
+    """
+    return profile_of(category_state(lines), distinct_purchases(lines))
+
+
+def profile_of(per_category: DataFrame, variety: DataFrame) -> DataFrame:
+    """Customer aggregates from a state per category and the distinct purchases."""
+    category = F.col("Product_Category")
     profile = per_category.groupBy(KEY).agg(
         *_merged_measures(),
         F.count(category).alias("distinct_categories"),
@@ -123,7 +144,7 @@ def customer_profile(lines: DataFrame) -> DataFrame:
         F.min(F.struct((-F.col("orders")).alias("rank"), category.alias("name"))).alias("favorite"),
         *[F.min(a).alias(a) for a in ATTRIBUTES],
     )
-    variety = distinct_purchases(lines).withColumnRenamed(KEY, "variety_key")
+    variety = variety.withColumnRenamed(KEY, "variety_key")
     # lines without a customer form a group of their own, which null-safe equality keeps
     joined = profile.join(variety, F.col(KEY).eqNullSafe(F.col("variety_key")), "left")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orderlens import fields
+from orderlens.operators import customer_state
 from orderlens.operators import customers as ops
 from orderlens.operators import ranking
 from orderlens.queries.registry import cents, over_lines, query, ratio6
@@ -227,6 +228,31 @@ def customer_ml_join(spark, sf):
     return comparable(joined)
 
 
+def merged_in_days(spark, sf):
+    """The state after the order lines came in ten parts, one of them twice, and a compaction."""
+    lines = written_lines(spark, sf)
+    path = scratch.scratch_path(spark, "customer-state")
+    part = F.pmod(F.xxhash64("Order_ID"), F.lit(10))
+    for day in [*range(7), 3, *range(7, 10)]:
+        if day == 7:
+            customer_state.compact(spark, path)
+        customer_state.merge_day(lines.where(part == day), path, str(day))
+    return path
+
+
+@query(
+    "customer_state_merged",
+    over_lines(
+        f"{_BASE_V}{_TOP_V}, purchase_v AS (SELECT Customer_ID, {_PURCHASE} FROM orders_v "
+        "GROUP BY Customer_ID) SELECT * FROM base_v LEFT JOIN purchase_v USING (Customer_ID) "
+        "LEFT JOIN top_v USING (Customer_ID)"
+    ),
+)
+def customer_state_merged(spark, sf):
+    """Ten merged days give what all lines give at once."""
+    return comparable(customer_state.profile(spark, merged_in_days(spark, sf)))
+
+
 PRODUCT_SQL = """SELECT Product_ID, Product_Category, Product_Subcategory, Brand,
   count(Order_ID) AS times_ordered, cast(sum(Quantity) AS bigint) AS total_quantity_sold,
   round(sum(Order_Amount), 2) AS total_revenue,

@@ -194,7 +194,11 @@ def _read_schema(df: DataFrame, partition_by: Sequence[str]) -> dict:
 
 
 def append_rows(
-    df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, run_id: str | None = None
+    df: DataFrame,
+    path: str,
+    fmt: str = DEFAULT_FORMAT,
+    run_id: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """Append to a log and return all of it; columns new in ``df`` are null in older rows.
 
@@ -207,7 +211,8 @@ def append_rows(
     attempt = f"a-{uuid.uuid4().hex}"
     folder = f"{path}/{_ATTEMPT}={attempt}"
     try:
-        df.write.format(fmt).save(folder)
+        writer = df.write.format(fmt)
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(folder)
     except BaseException:
         files.delete(spark, folder)
         raise
@@ -226,11 +231,20 @@ def _counted(spark: SparkSession, path: str) -> DataFrame:
         f"{path}/{_MARKERS}"
     )
     first = F.min(F.struct("ended_at", "attempt")).alias("first")
-    return markers.groupBy("run_id").agg(first).select(F.col("first.attempt").alias(_ATTEMPT))
+    return markers.groupBy("run_id").agg(first).select("run_id", F.col("first.attempt").alias(_ATTEMPT))
 
 
-def read_log(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """All rows that ``append_rows`` committed, each run's once.
+def logged_runs(spark: SparkSession, path: str) -> DataFrame:
+    """``run_id`` of every run whose rows count, none if nothing was appended."""
+    if not files.children(spark, f"{path}/{_MARKERS}"):
+        return spark.createDataFrame([], "run_id string")
+    return _counted(spark, path).select("run_id")
+
+
+def read_log(
+    spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, runs: DataFrame | None = None
+) -> DataFrame:
+    """All rows that ``append_rows`` committed, each run's once, or those of some ``run_id``.
 
     A folder without markers, as other writers leave it, is read as it is.
     """
@@ -238,7 +252,11 @@ def read_log(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataF
     if not files.children(spark, f"{path}/{_MARKERS}"):
         return read_layer(spark, path, fmt, **merge)
     rows = spark.read.format(fmt).options(**merge).load(path)
-    return rows.join(_counted(spark, path), _ATTEMPT, "left_semi").drop(_ATTEMPT)
+    counted = _counted(spark, path)
+    if runs is not None:
+        counted = counted.join(runs, "run_id", "left_semi")
+    counted = counted.select(_ATTEMPT)
+    return rows.join(counted, _ATTEMPT, "left_semi").drop(_ATTEMPT)
 
 
 def forget_uncounted(spark: SparkSession, path: str) -> list[str]:
