@@ -15,6 +15,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.operators import customers
 from orderlens.operators.customers import KEY
@@ -58,7 +59,17 @@ def _variety(values: DataFrame) -> DataFrame:
 
 def _generation(spark: SparkSession, path: str) -> dict:
     text = files.read_text(spark, f"{path}/{_POINTER}")
-    return json.loads(text) if text else {"folder": "g-0", "days": [], "buckets": BUCKETS}
+    return json.loads(text) if text else {"folder": "g-0", "days": [], "buckets": None, "schemas": {}}
+
+
+def _append(states: dict[str, DataFrame], folder: str, run: str, buckets: int) -> None:
+    for name, state in states.items():
+        layers.commit_rows(
+            state.withColumn(_BUCKET, _bucket(buckets)).repartition(_BUCKET),
+            f"{folder}/{name}",
+            run_id=run,
+            partition_by=[_BUCKET],
+        )
 
 
 def merged_days(spark: SparkSession, path: str) -> list[str]:
@@ -68,9 +79,11 @@ def merged_days(spark: SparkSession, path: str) -> list[str]:
     return sorted({*now["days"], *(r["run_id"] for r in logged)} - {_COMPACTED})
 
 
-def merge_day(lines: DataFrame, path: str, day: str) -> bool:
+def merge_day(lines: DataFrame, path: str, day: str, buckets: int = BUCKETS) -> bool:
     """Add a day's lines to the state; False, and nothing changes, if the day is in already.
 
+    ``buckets`` is that of the first day; ``compact`` can change it.
+
     The part that counts a day is written last: a try that died between the parts is made good
     by the next one, whose first part is then left out as the day's second.
     """
@@ -78,17 +91,12 @@ def merge_day(lines: DataFrame, path: str, day: str) -> bool:
     if day in merged_days(spark, path):
         return False
     now = _generation(spark, path)
-    folder, bucket = f"{path}/{now['folder']}", _bucket(now["buckets"])
-    for name, state in (
-        ("measures", customers.category_state(lines)),
-        ("variety", purchase_values(lines)),
-    ):
-        layers.append_rows(
-            state.withColumn(_BUCKET, bucket).repartition(_BUCKET),
-            f"{folder}/{name}",
-            run_id=day,
-            partition_by=[_BUCKET],
-        )
+    states = {"measures": customers.category_state(lines), "variety": purchase_values(lines)}
+    if now["buckets"] is None:
+        schemas = {name: state.schema.jsonValue() for name, state in states.items()}
+        now |= {"buckets": buckets, "schemas": schemas}
+        files.replace_text(spark, f"{path}/{_POINTER}", json.dumps(now))
+    _append(states, f"{path}/{now['folder']}", day, now["buckets"])
     return True
 
 
@@ -97,7 +105,10 @@ def _states(spark: SparkSession, path: str, touched: DataFrame | None) -> list[D
     days = layers.logged_runs(spark, f"{path}/{now['folder']}/variety")
     found = []
     for name in ("measures", "variety"):
-        rows = layers.read_log(spark, f"{path}/{now['folder']}/{name}", runs=days)
+        schema = T.StructType.fromJson(now["schemas"][name]).add(_BUCKET, T.IntegerType())
+        rows = layers.read_log(
+            spark, f"{path}/{now['folder']}/{name}", runs=days, schema=schema
+        )
         if touched is not None:
             keys = touched.select(F.col(KEY).alias("touched__")).distinct()
             # at most as many numbers as there are buckets; folders of others are not read
@@ -129,18 +140,9 @@ def compact(spark: SparkSession, path: str, buckets: int | None = None) -> None:
     now = _generation(spark, path)
     days = merged_days(spark, path)
     measures, variety = _states(spark, path, None)
-    target = f"g-{uuid.uuid4().hex[:12]}"
-    buckets = buckets or now["buckets"]
-    for name, state in (
-        ("measures", customers.merge_category_states(measures)),
-        ("variety", variety.distinct()),
-    ):
-        layers.append_rows(
-            state.withColumn(_BUCKET, _bucket(buckets)).repartition(_BUCKET),
-            f"{path}/{target}/{name}",
-            run_id=_COMPACTED,
-            partition_by=[_BUCKET],
-        )
-    after = {"folder": target, "days": days, "buckets": buckets}
+    target, buckets = f"g-{uuid.uuid4().hex[:12]}", buckets or now["buckets"]
+    states = {"measures": customers.merge_category_states(measures), "variety": variety.distinct()}
+    _append(states, f"{path}/{target}", _COMPACTED, buckets)
+    after = now | {"folder": target, "days": days, "buckets": buckets}
     files.replace_text(spark, f"{path}/{_POINTER}", json.dumps(after))
     files.delete(spark, f"{path}/{now['folder']}")

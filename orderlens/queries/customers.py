@@ -236,7 +236,7 @@ def merged_in_days(spark, sf):
     for day in [*range(7), 3, *range(7, 10)]:
         if day == 7:
             customer_state.compact(spark, path)
-        customer_state.merge_day(lines.where(part == day), path, str(day))
+        customer_state.merge_day(lines.where(part == day), path, str(day), buckets=8)
     return path
 
 

@@ -194,13 +194,21 @@ def _read_schema(df: DataFrame, partition_by: Sequence[str]) -> dict:
 
 
 def append_rows(
+    df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, run_id: str | None = None
+) -> DataFrame:
+    """Append to a log and return all of it; columns new in ``df`` are null in older rows."""
+    commit_rows(df, path, fmt, run_id)
+    return read_log(df.sparkSession, path, fmt)
+
+
+def commit_rows(
     df: DataFrame,
     path: str,
     fmt: str = DEFAULT_FORMAT,
     run_id: str | None = None,
     partition_by: Sequence[str] = (),
-) -> DataFrame:
-    """Append to a log and return all of it; columns new in ``df`` are null in older rows.
+) -> None:
+    """Append to a log.
 
     Every append writes a folder of its own and then a marker that names it, so appenders
     at the same time do not meet, and rows of an append that died before its marker are never
@@ -222,7 +230,6 @@ def append_rows(
         "ended_at": time.time_ns(),
     }
     files.replace_text(spark, f"{path}/{_MARKERS}/{attempt}.json", json.dumps(marker))
-    return read_log(spark, path, fmt)
 
 
 def _counted(spark: SparkSession, path: str) -> DataFrame:
@@ -242,21 +249,27 @@ def logged_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_log(
-    spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, runs: DataFrame | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = DEFAULT_FORMAT,
+    runs: DataFrame | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """All rows that ``append_rows`` committed, each run's once, or those of some ``run_id``.
 
-    A folder without markers, as other writers leave it, is read as it is.
+    A folder without markers, as other writers leave it, is read as it is. With a ``schema``
+    no file is opened to learn its columns.
     """
-    merge = {"mergeSchema": True} if fmt in ("parquet", "orc", "delta") else {}
+    merge = {"mergeSchema": True} if fmt in ("parquet", "orc", "delta") and not schema else {}
     if not files.children(spark, f"{path}/{_MARKERS}"):
         return read_layer(spark, path, fmt, **merge)
-    rows = spark.read.format(fmt).options(**merge).load(path)
+    reader = spark.read.format(fmt).options(**merge)
+    if schema:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(_ATTEMPT, T.StringType())]))
     counted = _counted(spark, path)
     if runs is not None:
         counted = counted.join(runs, "run_id", "left_semi")
-    counted = counted.select(_ATTEMPT)
-    return rows.join(counted, _ATTEMPT, "left_semi").drop(_ATTEMPT)
+    return reader.load(path).join(counted.select(_ATTEMPT), _ATTEMPT, "left_semi").drop(_ATTEMPT)
 
 
 def forget_uncounted(spark: SparkSession, path: str) -> list[str]:

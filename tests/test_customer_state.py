@@ -31,7 +31,7 @@ def test_days_in_any_order_with_retries_equal_the_whole(spark, lines, tmp_path):
     path = str(tmp_path / "state")
     day = F.col("Order_ID") % 4
     for n in (2, 0, 2, 3):
-        customer_state.merge_day(lines.where(day == n), path, str(n))
+        customer_state.merge_day(lines.where(day == n), path, str(n), buckets=8)
     assert customer_state.merged_days(spark, path) == ["0", "2", "3"]
     assert not customer_state.merge_day(lines, path, "2")
     want = customers.customer_profile(lines.where(day != 1))
@@ -47,7 +47,7 @@ def test_days_in_any_order_with_retries_equal_the_whole(spark, lines, tmp_path):
 def test_touched_customers_only(spark, lines, tmp_path):
     path = str(tmp_path / "state")
     half = F.col("Order_ID") % 2 == 0
-    customer_state.merge_day(lines.where(half), path, "a")
+    customer_state.merge_day(lines.where(half), path, "a", buckets=8)
     today = lines.where(~half).where("Customer_ID < 30 OR Customer_ID IS NULL").limit(12)
     customer_state.merge_day(today, path, "b")
     found = customer_state.profile(spark, path, touched=today)
@@ -62,17 +62,17 @@ def test_touched_customers_only(spark, lines, tmp_path):
 
 def test_a_day_that_died_between_its_parts(spark, lines, tmp_path, monkeypatch):
     path = str(tmp_path / "state")
-    append = layers.append_rows
+    append = layers.commit_rows
 
     def dies(df, target, **options):
         if target.endswith("variety"):
             raise OSError("lost")
         return append(df, target, **options)
 
-    monkeypatch.setattr(layers, "append_rows", dies)
+    monkeypatch.setattr(layers, "commit_rows", dies)
     with pytest.raises(OSError):
-        customer_state.merge_day(lines, path, "a")
-    monkeypatch.setattr(layers, "append_rows", append)
+        customer_state.merge_day(lines, path, "a", buckets=8)
+    monkeypatch.setattr(layers, "commit_rows", append)
     assert customer_state.merged_days(spark, path) == []
-    assert customer_state.merge_day(lines, path, "a")
+    assert customer_state.merge_day(lines, path, "a", buckets=8)
     assert rounded(customer_state.profile(spark, path)) == rounded(customers.customer_profile(lines))
