@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,9 @@ from pyspark.sql import functions as F
 
 from orderlens import fields
 from orderlens.functions.scoring import threshold_flag
-from orderlens.operators import comparison, evaluation, forest, schema, splits, transactions
+from orderlens.operators import comparison, evaluation, forest, schema, skew, splits, transactions
 from orderlens.plans import scoring
-from orderlens.sources import layers, registry
+from orderlens.sources import layers, registry, scratch
 
 EXPERIMENT = "order-return-prediction"
 PLAIN, BALANCED = "None", "balanced"
@@ -79,6 +80,10 @@ def write_splits(
         f"{path}/rf_defaults",
         fmt,
     )
+    # what later batches are compared with
+    layers.write_layer(
+        skew.histograms(train, *forest.feature_columns(train)), f"{path}/rf_histograms", fmt
+    )
     return train, written[splits.TEST]
 
 
@@ -165,28 +170,78 @@ def job_balance(
     return _fit(spark, path, settings or ForestSettings(), fmt, BALANCED)
 
 
+def out_of_fold(
+    train: DataFrame,
+    folds: int,
+    settings: ForestSettings,
+    split_keys: Sequence[str] = (fields.SPLIT_KEY,),
+    path: str | None = None,
+    fmt: str = layers.DEFAULT_FORMAT,
+) -> tuple[DataFrame, DataFrame]:
+    """Scores of all training rows by models that did not see them, and what each model saw.
+
+    Rows fall into folds by a hash of their order, so the lines of an order are in one. Fold k
+    is scored by a plain forest fitted on the other folds. Returns ``split_keys``, label,
+    probability and ``fold`` of every row, and the distinct ``split_keys`` that the model of
+    each ``fold`` was fitted on. Both are written, below ``path`` or as scratch.
+    """
+    if folds < 2:
+        raise ValueError("at least two folds are needed")
+    fold = (splits.split_bucket(*split_keys) % folds).cast("int")
+    rows = train.withColumn("fold", fold)
+    scored, seen = [], []
+    for k in range(folds):
+        others = rows.where(F.col("fold") != k)
+        model = forest.train_random_forest(
+            others.drop("fold"), settings.trees, settings.depth, **settings.options
+        )
+        held = forest.batch_predict(model, rows.where(F.col("fold") == k), keep=[*split_keys, "fold"])
+        scored.append(forest.with_probability(held))
+        seen.append(others.select(*split_keys, F.lit(k).alias("fold")).distinct())
+
+    def stored(parts: list[DataFrame], name: str) -> DataFrame:
+        together = reduce(DataFrame.unionByName, parts)
+        if path is None:
+            return scratch.durable(together, name)
+        return layers.write_layer(together, f"{path}/{name}", fmt)
+
+    return stored(scored, "rf_out_of_fold"), stored(seen, "rf_fold_training")
+
+
+def job_fold(
+    spark: SparkSession, path: str, folds: int, settings: ForestSettings | None = None,
+    split_keys: Sequence[str] = (fields.SPLIT_KEY,), fmt: str = layers.DEFAULT_FORMAT,
+) -> DataFrame:
+    """Out-of-fold scores of the stored training split, from which ``job_tune`` then chooses."""
+    train = read(spark, path, f"rf_{splits.TRAIN}_split", fmt)
+    return out_of_fold(train, folds, settings or ForestSettings(), split_keys, path, fmt)[0]
+
+
 def job_tune(
     spark: SparkSession, path: str, fmt: str = layers.DEFAULT_FORMAT
 ) -> tuple[DataFrame, DataFrame]:
     """Threshold metrics of the stored predictions, and test predictions at the best threshold.
 
-    The threshold is chosen on the validation rows where there are some. Metrics of both
-    parts are stored; those of the test rows are what a comparison reports.
+    The threshold is chosen on out-of-fold scores where there are some, else on the validation
+    rows where there are some. Metrics of all parts are stored; those of the test rows are
+    what a comparison reports.
     """
     predictions = read(spark, path, "rf_predictions", fmt)
     run_id = predictions.select("run_id").first()["run_id"]
 
     def sweep(rows: DataFrame, name: str) -> DataFrame:
-        metrics = evaluation.threshold_metrics(
-            forest.with_probability(rows), fields.LABEL, "return_probability"
-        )
+        scored = rows if "return_probability" in rows.columns else forest.with_probability(rows)
+        metrics = evaluation.threshold_metrics(scored, fields.LABEL, "return_probability")
         return layers.write_layer(
             metrics.withColumn("run_id", F.lit(run_id)), f"{path}/{name}", fmt
         )
 
     metrics = sweep(predictions, "rf_threshold_metrics")
     choosing = metrics
-    if layers.exists(spark, f"{path}/rf_validation_predictions"):
+    if layers.exists(spark, f"{path}/rf_out_of_fold"):
+        held = read(spark, path, "rf_out_of_fold", fmt)
+        choosing = sweep(held, "rf_fold_threshold_metrics")
+    elif layers.exists(spark, f"{path}/rf_validation_predictions"):
         held = read(spark, path, "rf_validation_predictions", fmt)
         choosing = sweep(held, "rf_validation_threshold_metrics")
     tuned = layers.write_layer(
@@ -259,10 +314,16 @@ def job_train_tune_compare(
     min_count: int = fields.RARE_MIN_COUNT,
     fmt: str = layers.DEFAULT_FORMAT,
     validation_percent: int = 0,
+    folds: int = 0,
 ) -> dict[str, DataFrame]:
-    """All stages one after another, from silver to the checked comparison."""
+    """All stages one after another, from silver to the checked comparison.
+
+    With ``folds`` the threshold is chosen on out-of-fold scores of the training rows.
+    """
     spark = silver.sparkSession
     write_splits(silver, path, split_keys, min_count, fmt, validation_percent)
+    if folds:
+        job_fold(spark, path, folds, settings, split_keys, fmt)
     job_train(spark, path, settings, fmt)
     job_balance(spark, path, settings, fmt)
     job_tune(spark, path, fmt)

@@ -13,6 +13,7 @@ from orderlens.operators import (
     evaluation,
     forest,
     schema,
+    skew,
     splits,
     trees,
 )
@@ -557,6 +558,99 @@ def job_train_tune_compare(spark, sf):
     )
 
 
+FOLDS = 4
+
+
+@query(
+    "out_of_fold_scores",
+    over_lines(
+        f"{_ROWS_V}, g AS (SELECT r.*, cast(bucket % {FOLDS} AS int) AS fold FROM rows_v r JOIN "
+        f"(SELECT DISTINCT Order_ID, {BUCKET_SQL} AS bucket FROM orders_v) USING (Order_ID) "
+        "WHERE split = 'train') SELECT fold, count(*) AS scored, "
+        "cast(sum(returned) AS bigint) AS positives, count(DISTINCT Order_ID) AS orders, "
+        "(SELECT count(DISTINCT Order_ID) FROM g) - count(DISTINCT Order_ID) AS orders_learned, "
+        "cast(0 AS bigint) AS seen_before FROM g GROUP BY fold"
+    ),
+)
+def out_of_fold_scores(spark, sf):
+    """Rows scored per fold, and how many of them the scoring model had seen: none, by a join."""
+    train, _ = prepared_splits(spark, sf)
+    scored, learned = training.out_of_fold(train, FOLDS, training.ForestSettings(3, 3))
+    key = [fields.SPLIT_KEY, "fold"]
+    seen = scored.join(learned, key, "left_semi").groupBy("fold").agg(F.count("*").alias("seen"))
+    sizes = learned.groupBy("fold").agg(F.count("*").alias("orders_learned"))
+    return (
+        scored.groupBy("fold")
+        .agg(
+            F.count("*").alias("scored"),
+            F.sum(F.col(fields.LABEL).cast("long")).alias("positives"),
+            F.count_distinct(fields.SPLIT_KEY).alias("orders"),
+        )
+        .join(sizes, "fold")
+        .join(seen, "fold", "left")
+        .select(
+            "fold", "scored", "positives", "orders", "orders_learned",
+            F.coalesce("seen", F.lit(0)).cast("long").alias("seen_before"),
+        )
+    )
+
+
+_SKEW_CATEGORIES = {"country": "Country", "payment_method": "Payment_Method", "brand": "Brand"}
+_SKEW_NUMBERS = {
+    "quantity": "cast(Quantity AS double)",
+    "unit_price": "Unit_Price",
+    "review_rating": "Review_Rating",
+}
+
+
+def _skew_sql() -> str:
+    """Histograms of both parts, bin by bin; the batch has upper-cased countries and more items."""
+    features = [*_SKEW_CATEGORIES, *_SKEW_NUMBERS]
+    old = ", ".join(f"{sql} AS {name}" for name, sql in (_SKEW_CATEGORIES | _SKEW_NUMBERS).items())
+    ends = ", ".join(f"min({n}) AS low_{n}, max({n}) AS high_{n}" for n in _SKEW_NUMBERS)
+    bins = [f"SELECT part, '{n}' AS feature, coalesce({n}, '{skew.MISSING}') AS bin FROM s" for n in _SKEW_CATEGORIES]
+    bins += [
+        f"SELECT part, '{n}', CASE WHEN {n} IS NULL THEN '{skew.MISSING}' WHEN {n} < low_{n} THEN "
+        f"'{skew.BELOW}' WHEN {n} > high_{n} THEN '{skew.ABOVE}' ELSE cast(cast(least(floor(({n} - low_{n}) "
+        f"/ (high_{n} - low_{n}) * {skew.NUMBER_BINS}), {skew.NUMBER_BINS - 1}) AS bigint) AS varchar) END FROM s, e"
+        for n in _SKEW_NUMBERS
+    ]
+    return (
+        f", o AS (SELECT {old}, {BUCKET_SQL} < {fields.TRAIN_PERCENT} AS train FROM orders_v), "
+        "s AS (SELECT CASE WHEN train THEN 'train' ELSE 'batch' END AS part, o.* REPLACE ("
+        "CASE WHEN train THEN country ELSE upper(country) END AS country, "
+        "CASE WHEN train THEN quantity ELSE quantity * 1.5 END AS quantity) FROM o), "
+        f"e AS (SELECT {ends} FROM s WHERE part = 'train'), "
+        f"b AS ({' UNION ALL '.join(bins)}), "
+        "c AS (SELECT feature, bin, count(*) FILTER (WHERE part = 'train') AS t, "
+        "count(*) FILTER (WHERE part = 'batch') AS n FROM b GROUP BY feature, bin), "
+        "z AS (SELECT *, cast(sum(t) OVER w AS double) AS ts, cast(sum(n) OVER w AS double) AS ns FROM c "
+        "WINDOW w AS (PARTITION BY feature)), "
+        f"h AS (SELECT *, greatest(n / ns, {skew.LEAST_SHARE}) AS q, greatest(t / ts, {skew.LEAST_SHARE}) AS p FROM z) "
+        "SELECT feature, cast(max(ns) AS bigint) AS records, "
+        f"round(coalesce(sum(n) FILTER (WHERE bin = '{skew.MISSING}'), 0) / max(ns) + 1e-9, 6) AS missing_share, "
+        f"round(coalesce(sum(n) FILTER (WHERE bin <> '{skew.MISSING}' AND t = 0), 0) / max(ns) + 1e-9, 6) "
+        "AS unseen_share, round(sum((q - p) * ln(q / p)) + 1e-9, 6) AS stability FROM h GROUP BY feature"
+    )
+
+
+@query("skew_report", over_lines(_skew_sql()))
+def skew_report(spark, sf):
+    """A batch whose countries are in upper case and whose quantities grew, against training."""
+    lines = star.order_lines(spark, sf)
+    kinds = _SKEW_CATEGORIES | _SKEW_NUMBERS
+    rows = lines.select("Order_ID", *[F.expr(sql).alias(name) for name, sql in kinds.items()])
+    train, batch = splits.train_test_split(rows, ["Order_ID"])
+    stored = scratch.durable(
+        skew.histograms(train, list(_SKEW_CATEGORIES), list(_SKEW_NUMBERS)), "histograms"
+    )
+    changed = batch.withColumns(
+        {"country": F.upper("country"), "quantity": F.col("quantity") * 1.5}
+    )
+    report = skew.skew_report(stored, changed)
+    return report.withColumns({c: ratio6(c) for c in ("missing_share", "unseen_share", "stability")})
+
+
 @query("random_split", over_lines("SELECT Returned, count(*) AS n FROM orders_v GROUP BY Returned"))
 def random_split(spark, sf):
     """Both parts of Spark's own split hold every row once; which part is not fixed."""

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,6 +145,7 @@ def write_layer(
     fmt: str = DEFAULT_FORMAT,
     partition_by: Sequence[str] = (),
     keep: int = KEPT_VERSIONS,
+    fingerprinted: bool = True,
     **options,
 ) -> DataFrame:
     """Replace a layer, schema included, and return the frame that reads it.
@@ -154,7 +155,8 @@ def write_layer(
     was, and frames opened before keep reading their version. The last ``keep`` versions
     are kept. Of two writers at once, the last to end wins, with all of its rows. Formats with
     a transaction log of their own (Delta) are overwritten in place.
-    The rows' fingerprint is taken in the same pass and stored with the version.
+    The fingerprint of the rows is taken from the files before they become the layer and is
+    stored with the version; without ``fingerprinted`` that read is spared.
 
     Consumers should go on from the returned frame, so the plan behind ``df`` runs once.
     """
@@ -167,17 +169,16 @@ def write_layer(
         return read_layer(spark, path, fmt)
     version = f"v-{uuid.uuid4().hex[:16]}"
     target = f"{path}/{version}"
-    seen = Observation(version)
-    observed = df.observe(seen, *fingerprint.aggregates(df)) if fmt in EXACT_FORMATS else df
-    writer = observed.write.format(fmt).mode("errorifexists").options(**options)
+    schema = _read_schema(df, partition_by)
+    entry = {"version": version, "format": fmt, "schema": schema.jsonValue()}
+    writer = df.write.format(fmt).mode("errorifexists").options(**options)
     try:
         (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
+        if fingerprinted and fmt in EXACT_FORMATS:
+            entry["fingerprint"] = fingerprint.of(spark.read.format(fmt).schema(schema).load(target))
     except BaseException:
         files.delete(spark, target)
         raise
-    entry = {"version": version, "format": fmt, "schema": _read_schema(df, partition_by)}
-    if fmt in EXACT_FORMATS:
-        entry["fingerprint"] = seen.get
     history = [entry, *(_pointer(spark, path) or [])]
     files.replace_text(spark, f"{path}/{_POINTER}", json.dumps(history[:keep]))
     for old in history[keep:]:
@@ -185,12 +186,12 @@ def write_layer(
     return read_layer(spark, path, fmt)
 
 
-def _read_schema(df: DataFrame, partition_by: Sequence[str]) -> dict:
+def _read_schema(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
     """The schema as files give it back: all nullable, partition columns last."""
     last = set(partition_by)
     ordered = [f for f in df.schema.fields if f.name not in last]
     ordered += [df.schema[name] for name in partition_by]
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in ordered]).jsonValue()
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in ordered])
 
 
 def append_rows(
