@@ -12,7 +12,7 @@ from orderlens.plans.silver import job_silver, to_silver
 from orderlens.queries.registry import (
     DATE_SQL, RAW_NAMES, SILVER_NAMES, over_lines, over_raw, over_silver, query, text_sql,
 )
-from orderlens.sources import scratch, star
+from orderlens.sources import layers, scratch, star
 
 
 def _normalized(spark, sf):
@@ -203,10 +203,17 @@ def bad_date_count(spark, sf):
     return quality.bad_date_count(to_silver(star.raw_lines(spark, sf)))
 
 
+def stored_raw_lines(spark, sf):
+    """The raw lines as the job meets them: text in a CSV file."""
+    path = scratch.scratch_path(spark, "raw_orders")
+    layers.write_csv(star.raw_lines(spark, sf), path)
+    return layers.read_orders_csv(spark, path, columns=list(RAW_NAMES))
+
+
 @query("job_silver", over_silver("SELECT * FROM silver_v"))
 def silver_job(spark, sf):
     path = scratch.scratch_path(spark, "silver")
-    return job_silver(star.raw_lines(spark, sf), path)["silver"]
+    return job_silver(stored_raw_lines(spark, sf), path)["silver"]
 
 
 @query(
@@ -219,7 +226,7 @@ def silver_job(spark, sf):
 )
 def silver_profile_long(spark, sf):
     path = scratch.scratch_path(spark, "silver")
-    return job_silver(star.raw_lines(spark, sf), path)["null_profile"]
+    return job_silver(stored_raw_lines(spark, sf), path)["null_profile"]
 
 
 @query(
