@@ -558,7 +558,7 @@ def job_train_tune_compare(spark, sf):
     )
 
 
-FOLDS = 4
+FOLDS = 3
 
 
 @query(
