@@ -76,7 +76,7 @@ def manifest_rows(spark, rows):
     return sorted([tuple(r)[:5] for r in found], key=str)
 
 
-@pytest.mark.parametrize("sizes", [[1], [1, 1], [2], [3], [4], [27, 28], [82, 1, 9], [10] + [1] * 10])
+@pytest.mark.parametrize("sizes", [[1], [3, 1], [27, 28, 4], [10] + [1] * 10])
 def test_trees_of_all_shapes(spark, sizes):
     rows = [
         (1000 * g + i, f"s{g}", f"text {g} {i}\n", 7) for g, n in enumerate(sizes) for i in range(n)
@@ -90,7 +90,7 @@ row = st.tuples(
 )
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(row, min_size=1, max_size=40))
 def test_nulls_ties_and_repeated_rows(spark, rows):
     assert manifest_rows(spark, rows) == plain_manifest(rows)
