@@ -150,3 +150,24 @@ def test_whole_job(spark, silver, tmp_path):
     assert again["rf_train_runs"].count() == 4 and again["rf_model_comparison"].count() == 2
     newest = {r["source_run_id"] for r in again["rf_model_comparison"].collect()}
     assert not newest & {r["source_run_id"] for r in rows.values()}
+
+
+def test_trees_grow_in_tasks_of_bounded_rows(spark, split, monkeypatch):
+    """A densely packed layer is one part, of which a task would hold every row unpacked."""
+    packed = scratch.durable(split[0].coalesce(1), "packed")
+    grown_on = []
+    fit = forest.RandomForestClassifier.fit
+
+    def watched(self, rows):
+        sizes = rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        grown_on.extend(sizes)
+        return fit(self, rows)
+
+    monkeypatch.setattr(forest.RandomForestClassifier, "fit", watched)
+    monkeypatch.setattr(forest, "TASK_BYTES", 500_000, raising=False)
+    setting = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(setting)
+    forest.train_balanced_forest(packed, trees=2, depth=2)
+    assert sum(grown_on) == packed.count()
+    assert max(grown_on) <= 500_000 // 400 < packed.count()
+    assert spark.conf.get(setting) == before
