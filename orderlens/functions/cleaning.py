@@ -18,12 +18,25 @@ from orderlens import fields
 _WHOLE_OR_FRACTION = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
 
 
+# whitespace that is no single space; text without it only has to be trimmed
+_UNEVEN = "[\\t-\\r]|  "
+# year, month and day in as many digits as both readers of dates take
+_PLAIN_DATE = r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
+
+
 def clean_whitespace(text: Column) -> Column:
     """Trim spaces, then turn every run of whitespace into one space.
 
-    ``trim`` removes spaces only, so a leading tab survives as a leading space.
+    ``trim`` removes spaces only, so a leading tab survives as a leading space. Only uneven text
+    is rewritten, as the one element of an array, whose function stands outside the generated
+    method: a wide table's would otherwise be too long for the JVM to compile.
     """
-    return F.regexp_replace(F.trim(text), r"\s+", " ")
+
+    def rewritten(value: Column) -> Column:
+        return F.regexp_replace(F.trim(value), r"\s+", " ")
+
+    uneven = F.transform(F.array(text), rewritten)[0]
+    return F.when(text.rlike(_UNEVEN), uneven).otherwise(F.trim(text))
 
 
 def to_double(text: Column) -> Column:
@@ -48,6 +61,15 @@ def ordinal(text: Column, levels: Mapping[str, int]) -> Column:
 
 
 def date_from_parts(month: Column, day: Column, year: Column) -> Column:
-    """Date of three text or number columns; null where they form no date."""
-    parts = [clean_whitespace(part.cast("string")) for part in (month, day, year)]
-    return F.try_to_date(F.concat_ws("/", *parts), fields.DATE_PATTERN)
+    """Date of three text or number columns; null where they form no date.
+
+    Parts of the usual digits are cast as an ISO date, which spares the formatter and, where
+    they form no date, its exception; all others go through the pattern.
+    """
+    texts = [part.cast("string") for part in (month, day, year)]
+    m, d, y = [F.trim(text) for text in texts]
+    plain = F.concat(y, F.lit("-"), m, F.lit("-"), d)
+    parts = [clean_whitespace(text) for text in texts]
+    return F.when(plain.rlike(_PLAIN_DATE), plain.try_cast("date")).otherwise(
+        F.try_to_date(F.concat_ws("/", *parts), fields.DATE_PATTERN)
+    )

@@ -12,18 +12,9 @@ from orderlens.operators.schema import map_present, present
 
 
 def clean_text(df: DataFrame) -> DataFrame:
-    """Normalise whitespace in every string column.
-
-    A regular expression per column makes wide tables generate a method too long for the
-    JVM to compile. Each column is therefore cleaned as the one element of an array, whose
-    function stands outside the generated method; columns nobody reads are pruned.
-    """
+    """Normalise whitespace in every string column; columns nobody reads are pruned."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-
-    def one(column):
-        return F.transform(F.array(column), cleaning.clean_whitespace)[0]
-
-    return map_present(df, names, one)
+    return map_present(df, names, cleaning.clean_whitespace)
 
 
 def rebuild_order_date(df: DataFrame) -> DataFrame:

@@ -128,3 +128,42 @@ def test_reader_checks_given_header(spark, tmp_path):
 def test_silver_of_unrelated_columns_changes_only_text(spark):
     df = spark.createDataFrame([(" x ", 5)], ["other", "n"])
     assert to_silver(df).first() == ("x", 5)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_plain_dates_are_those_of_the_pattern(spark, zone):
+    months = [None, "", "0", "1", "01", "001", "12", "13", " 2 ", "2\t", "1-2", "1/2", "x", "\u0663"]
+    days = [None, "", "0", "7", "007", "29", "31", "32", "5\n"]
+    years = [None, "", "0000", "1582", "2023", "2024", "24", "02024", "+2024", " 2024 ", "2024-1"]
+    rows = spark.createDataFrame(
+        [(m, d, y) for m in months for d in days for y in years], "m string, d string, y string"
+    )
+    parts = [F.regexp_replace(F.trim(F.col(c)), r"\s+", " ") for c in "mdy"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        both = rows.select(
+            "*",
+            F.try_to_date(F.concat_ws("/", *parts), "M/d/yyyy").alias("wanted"),
+            expr.date_from_parts(F.col("m"), F.col("d"), F.col("y")).alias("got"),
+        )
+        assert both.where("NOT (wanted <=> got)").collect() == []
+        assert both.where("got IS NOT NULL").count() > 20
+        # the usual digits do not meet the formatter
+        assert "rlike" in plan_of(both.select("got")).lower()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_only_uneven_text_is_rewritten(spark):
+    texts = [None, "", " ", "  ", "a", "a b", "a  b", " a", "a ", "\ta", "a\t", "a\nb", "\x0b", "a\x0cb",
+             "a\r\nb", "a\xa0b", " a\t b ", "a\x1cb", "\x85"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    wanted = F.regexp_replace(F.trim("t"), r"\s+", " ")
+    got = expr.clean_whitespace(F.col("t"))
+    assert rows.where(~wanted.eqNullSafe(got)).collect() == []
+    assert "rlike" in plan_of(rows.select(got)).lower()
