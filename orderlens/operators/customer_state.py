@@ -49,11 +49,12 @@ def purchase_values(lines: DataFrame) -> DataFrame:
 def _variety(values: DataFrame) -> DataFrame:
     """Distinct products and brands per customer; a value may stand there for several days."""
 
-    def distinct(kind: str, name: str) -> Column:
-        return F.count_distinct(F.when(F.col("kind") == kind, F.col("value"))).alias(name)
+    def of_kind(kind: str, name: str) -> Column:
+        return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull()).alias(name)
 
-    return values.groupBy(KEY).agg(
-        distinct(_PRODUCT, "distinct_products"), distinct(_BRAND, "distinct_brands")
+    # a distinct count of each kind would shuffle every value once per kind
+    return values.select(KEY, "kind", "value").distinct().groupBy(KEY).agg(
+        of_kind(_PRODUCT, "distinct_products"), of_kind(_BRAND, "distinct_brands")
     )
 
 
@@ -63,9 +64,10 @@ def _generation(spark: SparkSession, path: str) -> dict:
 
 
 def _append(states: dict[str, DataFrame], folder: str, run: str, buckets: int) -> None:
+    """Write states by bucket; a bucket larger than a task should get is split over several."""
     for name, state in states.items():
         layers.commit_rows(
-            state.withColumn(_BUCKET, _bucket(buckets)).repartition(_BUCKET),
+            state.withColumn(_BUCKET, _bucket(buckets)).hint("rebalance", F.col(_BUCKET)),
             f"{folder}/{name}",
             run_id=run,
             partition_by=[_BUCKET],

@@ -76,3 +76,26 @@ def test_a_day_that_died_between_its_parts(spark, lines, tmp_path, monkeypatch):
     assert customer_state.merged_days(spark, path) == []
     assert customer_state.merge_day(lines, path, "a", buckets=8)
     assert rounded(customer_state.profile(spark, path)) == rounded(customers.customer_profile(lines))
+
+
+def test_variety_counts_values_once_without_expanding_them(spark):
+    rows = [("a", "product", "1"), ("a", "product", "1"), ("a", "product", "2"), ("a", "brand", "1"),
+            ("b", "brand", None), (None, "product", "1"), (None, "product", "1")]
+    values = spark.createDataFrame(rows, f"{customers.KEY} string, kind string, value string")
+    variety = customer_state._variety(values)
+    assert sorted(map(str, map(tuple, variety.collect()))) == ["('a', 2, 1)", "('b', 0, 0)", "(None, 1, 0)"]
+    assert "Expand" not in variety._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    key = F.col("id").cast("string").alias(customers.KEY)
+    state = spark.range(20_000).select(key, F.md5(key).alias("value"))
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "100KB")
+    try:
+        customer_state._append({"variety": state}, str(tmp_path / "state"), "one", 1)
+    finally:
+        spark.conf.unset(setting)
+    assert len(list((tmp_path / "state").rglob("*.parquet"))) > 1
+    read = layers.read_log(spark, str(tmp_path / "state" / "variety"))
+    assert read.count() == read.select(customers.KEY).distinct().count() == 20_000
