@@ -116,7 +116,8 @@ def customer_product_agg(spark, sf):
     ),
 )
 def distinct_count(spark, sf):
-    return ops.distinct_purchases(star.order_lines(spark, sf))
+    lines = star.order_lines(spark, sf).select(ops.KEY, "Order_ID", "Product_ID", "Brand")
+    return ops.distinct_purchases(scratch.durable(lines, "purchases"))
 
 
 @query(

@@ -82,6 +82,39 @@ def test_lines_without_customer_have_base_but_no_purchase_columns(lines):
     assert all(row[c] is None for c in customers.PURCHASE_COLUMNS + customers.FAVORITE_COLUMNS)
 
 
+def test_distinct_purchases_deal_lines_in_parts_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(customers, "TASK_LINES", 1_000)
+    # two of three lines are one customer's, half of those the same purchase, all in one partition
+    lines = spark.range(0, 9_000, 1, 1).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN 'big' WHEN id % 2 = 0 THEN NULL ELSE concat('c', id % 5) END "
+        "AS Customer_ID",
+        "CASE WHEN id % 3 = 1 THEN 0 WHEN id % 7 > 0 THEN id END AS Product_ID",
+        "CASE WHEN id % 3 = 1 THEN 'x' WHEN id % 11 > 0 THEN concat('b', id % 13) END AS Brand",
+        "id AS Order_ID",
+    )
+    found = customers.distinct_purchases(lines)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ", 9), REPARTITION_BY_NUM" in plan
+    dealt = lines.repartition(9, "Customer_ID", "Product_ID", "Brand", "Order_ID")
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 1_500
+    want = {}
+    for r in lines.collect():
+        products, brands = want.setdefault(r["Customer_ID"], (set(), set()))
+        products.add(r["Product_ID"])
+        brands.add(r["Brand"])
+    assert by_customer(found) == {
+        key: {
+            "Customer_ID": key,
+            "distinct_products": len(products - {None}),
+            "distinct_brands": len(brands - {None}),
+        }
+        for key, (products, brands) in want.items()
+    }
+    # lines without an order id are counted as well
+    assert by_customer(customers.distinct_purchases(lines.drop("Order_ID"))) == by_customer(found)
+
+
 def test_fused_table_equals_joined_tables(lines):
     fused = by_customer(customers.customer_ml_features(lines))
     joined = by_customer(
