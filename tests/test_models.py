@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from orderlens import fields
 from orderlens.operators import forest, transactions
 from orderlens.plans import scoring, training
+from orderlens.queries import QUERIES
 from orderlens.sources import layers, scratch, star
 from orderlens.streaming import scoring as streaming
 
@@ -171,3 +172,23 @@ def test_trees_grow_in_tasks_of_bounded_rows(spark, split, monkeypatch):
     assert sum(grown_on) == packed.count()
     assert max(grown_on) <= 500_000 // 400 < packed.count()
     assert spark.conf.get(setting) == before
+
+
+class _Grown(Exception):
+    pass
+
+
+@pytest.mark.parametrize(
+    ("name", "size"),
+    [("train_random_forest", (fields.FOREST_TREES, fields.FOREST_DEPTH))],
+)
+def test_training_queries_grow_the_whole_forest(spark, monkeypatch, name, size):
+    """Sizes of the data contract, not those of a trial."""
+
+    def watched(self, rows):
+        raise _Grown(self.getNumTrees(), self.getMaxDepth())
+
+    monkeypatch.setattr(forest.RandomForestClassifier, "fit", watched)
+    with pytest.raises(_Grown) as grown:
+        QUERIES[name](spark, SF_DIR)
+    assert grown.value.args == size
