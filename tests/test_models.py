@@ -180,7 +180,10 @@ class _Grown(Exception):
 
 @pytest.mark.parametrize(
     ("name", "size"),
-    [("train_random_forest", (fields.FOREST_TREES, fields.FOREST_DEPTH))],
+    [
+        ("train_random_forest", (fields.FOREST_TREES, fields.FOREST_DEPTH)),
+        ("train_balanced_forest", (fields.BALANCED_TREES, fields.BALANCED_DEPTH)),
+    ],
 )
 def test_training_queries_grow_the_whole_forest(spark, monkeypatch, name, size):
     """Sizes of the data contract, not those of a trial."""
