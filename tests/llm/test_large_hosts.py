@@ -65,3 +65,37 @@ def test_substrings_are_those_of_the_pages():
                 found[page, at] = digest
     assert set(found) == {(0, 0), (0, 1), (0, 2), (0, 3), (1, 0), (1, 1)}
     assert found[0, 0] == found[0, 2] == found[1, 1] != found[0, 1] == found[1, 0]
+
+
+def marked_pages():
+    """A large host whose pages all mark their text; one notice is on three pages far apart."""
+    rows = []
+    for i in range(900):
+        own = " ".join(f"w{i}x{j}" for j in range(20))
+        notice = " ".join(f"three{j}" for j in range(9)) if i in (5, 450, 870) else ""
+        rows.append((i, URL.format(i), f"<div>{notice}</div><article><p>{own}</p></article>"))
+    return rows
+
+
+@pytest.mark.parametrize("broadcast", [64 << 20, 0])
+def test_marked_hosts_are_counted_over_all_their_arrays(spark, monkeypatch, broadcast):
+    """Where markup decides, repetition is still counted on all pages of the host."""
+    monkeypatch.setattr(pages, "BROADCAST_BYTES", broadcast, raising=False)
+    df = spark.createDataFrame(marked_pages(), SCHEMA).repartition(4)
+    found = {r["page_id"]: r for r in pages.extract(df).collect()}
+    assert len(found) == 900
+    assert {i: r["n_repeated"] for i, r in found.items() if r["n_repeated"]} == {5: 9, 450: 9, 870: 9}
+    assert all(r["text"].startswith(f"w{i}x0 ") for i, r in found.items())
+
+
+def test_equal_substrings_have_equal_keys():
+    same = " ".join(f"s{j}" for j in range(10))
+
+    def keys(*of):
+        return pages._Array([h for h, _ in of], [pages.read_blocks(f"<p>{t}</p>") for _, t in of]).keys()
+
+    at, key = keys(("h", f"a a a {same} b"), ("h", "few words"), ("h", ""), ("h", f"c {same}"), ("o", same))
+    by_place = dict(zip(at.tolist(), key.tolist(), strict=True))
+    # 14 tokens, two, none, 11 and 10
+    assert [by_place[i] for i in (3, 4, 5)] == [by_place[i] for i in (17, 18, 19)]
+    assert by_place[3] != by_place[27] and max(by_place) == 29 and len(by_place) == 7 + 4 + 3
