@@ -203,17 +203,19 @@ def bad_date_count(spark, sf):
     return quality.bad_date_count(to_silver(star.raw_lines(spark, sf)))
 
 
-def stored_raw_lines(spark, sf):
-    """The raw lines as the job meets them: text in a CSV file."""
-    path = scratch.scratch_path(spark, "raw_orders")
-    layers.write_csv(star.raw_lines(spark, sf), path)
-    return layers.read_orders_csv(spark, path, columns=list(RAW_NAMES))
+def silver_layers(spark, sf):
+    """The job over raw lines as it meets them, text in CSV files, which go once it has ended."""
+    path = scratch.scratch_path(spark, "silver")
+    with scratch.scope(spark):
+        raw = layers.read_orders_csv(
+            spark, star.write_raw_lines(spark, sf), columns=list(RAW_NAMES)
+        )
+        return job_silver(raw, path)
 
 
 @query("job_silver", over_silver("SELECT * FROM silver_v"))
 def silver_job(spark, sf):
-    path = scratch.scratch_path(spark, "silver")
-    return job_silver(stored_raw_lines(spark, sf), path)["silver"]
+    return silver_layers(spark, sf)["silver"]
 
 
 @query(
@@ -225,8 +227,7 @@ def silver_job(spark, sf):
     ),
 )
 def silver_profile_long(spark, sf):
-    path = scratch.scratch_path(spark, "silver")
-    return job_silver(stored_raw_lines(spark, sf), path)["null_profile"]
+    return silver_layers(spark, sf)["null_profile"]
 
 
 @query(

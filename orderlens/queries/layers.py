@@ -25,8 +25,7 @@ _NARROW_SQL = over_lines("SELECT Order_ID, Product_ID, Quantity, Order_Amount FR
 )
 def read_orders_csv(spark, sf):
     """An empty field reads as null, quoted or not."""
-    path = scratch.scratch_path(spark, "raw_csv")
-    layers.write_csv(star.raw_lines(spark, sf), path)
+    path = star.write_raw_lines(spark, sf)
     return layers.read_orders_csv(spark, path, columns=list(RAW_NAMES))
 
 

@@ -83,3 +83,34 @@ def test_text_of_parts_and_orders_is_made_before_the_joins(spark, odd):
     above, below = plan[: plan.index("Join")], plan[plan.index("Join"):]
     for made in ("upper(", "month(", "quarter("):
         assert made not in above and made in below
+
+
+def test_raw_lines_lie_compressed_and_whole(spark, monkeypatch):
+    """The text would else take several times the disk of the tables it is made from."""
+    from collections import Counter
+    from pathlib import Path
+
+    from orderlens.queries.registry import RAW_NAMES
+    from orderlens.sources import layers
+
+    monkeypatch.setattr(star, "RAW_ROWS_PER_FILE", 700)
+    path = star.write_raw_lines(spark, "/root/testdata/sf0.001")
+    files = [f for f in Path(path).iterdir() if f.name.startswith("part-")]
+    assert all(f.name.endswith(".csv.gz") for f in files) and len(files) > 6000 // 700
+    read = layers.read_orders_csv(spark, path, columns=list(RAW_NAMES))
+    made = star.raw_lines(spark, "/root/testdata/sf0.001").replace("", None)
+    assert Counter(map(tuple, read.collect())) == Counter(map(tuple, made.collect()))
+
+
+def test_raw_text_goes_once_silver_is_written(spark):
+    from pathlib import Path
+
+    from orderlens.queries import QUERIES
+    from orderlens.sources import scratch
+
+    def kept():
+        return {p for p in Path(scratch.scratch_root(spark)).rglob("raw_*") if p.is_dir()}
+
+    before = kept()
+    assert QUERIES["job_silver"](spark, "/root/testdata/sf0.001").count() == 6000
+    assert kept() == before
