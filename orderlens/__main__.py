@@ -78,7 +78,7 @@ def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     given = args.schema_from and layers.read_layer(spark, args.schema_from, args.format).schema
     records = streaming.read_records(
-        spark, args.input, given or scoring.RECORD_SCHEMA, args.format
+        spark, layers.current_folder(spark, args.input), given or scoring.RECORD_SCHEMA, args.format
     )
     streaming.stream_score(
         forest.load_model(args.model), records, args.output, args.checkpoint, args.threshold,

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,3 +197,24 @@ def test_training_queries_grow_the_whole_forest(spark, monkeypatch, name, size):
     with pytest.raises(_Grown) as grown:
         QUERIES[name](spark, SF_DIR)
     assert grown.value.args == size
+
+
+def _kept(spark, name):
+    """Scratch tables of this name that are still there."""
+    root = Path(scratch.scratch_root(spark))
+    return {str(p) for p in root.rglob(f"{name}-*") if p.is_dir()}
+
+
+def test_vectors_go_once_the_trees_are_grown(spark, split):
+    """A model a fold would else leave its vectors on disk until the last fold is scored."""
+    before = _kept(spark, "vectors")
+    model = forest.train_random_forest(split[0], trees=2, depth=2)
+    assert _kept(spark, "vectors") == before
+    assert forest.batch_predict(model, split[1]).count() == split[1].count()
+
+
+def test_streamed_scores_need_no_training_layers(spark):
+    before = _kept(spark, "splits")
+    row = QUERIES["stream_score"](spark, SF_DIR).first()
+    assert (row["n"], row["changed"]) == (6000, 0)
+    assert _kept(spark, "splits") == before
